@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import mojibake, packing, tokens
+from tidemill.llm import lookalikes, mojibake, packing, residue, tokens
 from tidemill.runtime import checkpointed, table
 
 
@@ -21,6 +21,39 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.restore_values(media).distinct()
 
 
+def _contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_name, id, content) of both tables of records."""
+    parts = (table(spark, sf_dir, name, "id", "content").select(F.lit(name).alias("table_name"), "id", "content") for name in ("raw_media", "raw_social"))
+    return next(parts).unionAll(next(parts))
+
+
+def _unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contents that change, without those that passed through a wrong encoding."""
+    contents = _contents(spark, sf_dir)
+    changed = lookalikes.unify(contents, lookalikes.share_counts(contents.select("content")), ("table_name", "id"))
+    media = table(spark, sf_dir, "raw_media", "id", "content")
+    damaged = mojibake.restore_values(media, columns=("content",)).select(F.lit("raw_media").alias("table_name"), "id")
+    return changed.join(damaged, ["table_name", "id"], "left_anti")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unified(spark, sf_dir).select("table_name", "id").distinct()
+
+
+def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _unified(spark, sf_dir).distinct()
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    contents = _contents(spark, sf_dir)
+    parts = (residue.residue(contents.where(F.col("table_name") == name)).select(F.lit(name).alias("table_name"), "id") for name in ("raw_media", "raw_social"))
+    return next(parts).unionAll(next(parts)).distinct()
+
+
+def p4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.templates(_contents(spark, sf_dir))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -34,7 +67,7 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p7_ids, p8_packed, p8_report)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_unified, p4_found, p4_templates, p7_ids, p8_packed, p8_report)}
 
 
 def oracle_sql() -> dict[str, str]:
