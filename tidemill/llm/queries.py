@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import lookalikes, mojibake, packing, residue, tokens
+from tidemill.llm import lookalikes, mojibake, packing, residue, tokens, truncation
 from tidemill.runtime import checkpointed, table
 
 
@@ -21,6 +21,16 @@ def p1_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mojibake.restore_values(media).distinct()
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    social = table(spark, sf_dir, "raw_social", "id", "summary", "content")
+    return truncation.truncated(social).select("id", "field").distinct()
+
+
+def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    social = table(spark, sf_dir, "raw_social", "id", "channel", "social_body_quality", "summary", "content")
+    return truncation.truncation_report(social, truncation.truncated(social))
+
+
 def _contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(table_name, id, content) of both tables of records."""
     parts = (table(spark, sf_dir, name, "id", "content").select(F.lit(name).alias("table_name"), "id", "content") for name in ("raw_media", "raw_social"))
@@ -67,7 +77,7 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_unified, p4_found, p4_templates, p7_ids, p8_packed, p8_report)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p7_ids, p8_packed, p8_report)}
 
 
 def oracle_sql() -> dict[str, str]:
