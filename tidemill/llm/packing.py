@@ -142,7 +142,7 @@ def pack(items: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity
     local = W.partitionBy("n_tokens", "_part").orderBy(key, "piece")
     ranked = (
         pieces.withColumn("_local", F.row_number().over(local) - 1)
-        .join(F.broadcast(offsets), ["n_tokens", "_part"])
+        .join(offsets, ["n_tokens", "_part"])
         .withColumn("_rank", F.col("_local") + F.col("_offset"))
     )
     found = F.element_at(F.filter("_segments", lambda s: (s["_first"] <= F.col("_rank")) & (F.col("_rank") < s["_first"] + s["_each"] * s["_containers"])), 1)

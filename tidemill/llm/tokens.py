@@ -321,7 +321,7 @@ def token_ids(spark: SparkSession, text: Column, vocabulary: str = "byte_bpe_50k
         np.cumsum([len(p) // 4 for p in parts], out=ends[1:])
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(parts), np.int32)))
 
-    return encode(text)
+    return encode.asNondeterministic()(text)
 
 
 def token_counts(spark: SparkSession, text: Column, vocabulary: str = "byte_bpe_50k", tokenizer_dir: str = TOKENIZER_DIR) -> Column:
@@ -335,7 +335,7 @@ def token_counts(spark: SparkSession, text: Column, vocabulary: str = "byte_bpe_
     def count(texts: pa.Array) -> pa.Array:
         return pa.array([len(p) // 4 for p in encoder_of(shared).encode_all(texts.to_pylist())], pa.int32())
 
-    return count(text)
+    return count.asNondeterministic()(text)  # so that no filter above repeats the work
 
 
 def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = "byte_bpe_50k", tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
