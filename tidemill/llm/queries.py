@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import lookalikes, mojibake, packing, residue, tokens, truncation
+from tidemill.llm import abuse, lookalikes, mojibake, packing, residue, tokens, truncation
 from tidemill.runtime import checkpointed, table
 
 
@@ -64,6 +64,20 @@ def p4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.templates(_contents(spark, sf_dir))
 
 
+def p5_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = table(spark, sf_dir, "raw_social", "id", "title", "content")
+    model = abuse.fit_model(posts, table(spark, sf_dir, "social_reviews", "social_id", "rating", "reviewer"))
+    return abuse.severity(posts, model)
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_scores(spark, sf_dir).where(F.col("severity") >= abuse.CASE_FROM).select("id").distinct()
+
+
+def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.severity_rates(p5_scores(spark, sf_dir), table(spark, sf_dir, "raw_social", "id", "channel"))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -77,7 +91,7 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p7_ids, p8_packed, p8_report)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p7_ids, p8_packed, p8_report)}
 
 
 def oracle_sql() -> dict[str, str]:
