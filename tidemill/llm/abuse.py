@@ -30,7 +30,7 @@ _NGRAMS = (1, 2, 3, 4, 5)
 STEMS = {
     "insult": (
         "白痴 智障 弱智 脑残 傻逼 傻b 傻叉 傻缺 煞缺 煞笔 沙雕 蠢猪 蠢货 蠢驴 废物 废柴 窝囊废 垃圾人 人渣 杂碎 杂种 畜生 畜牲 混蛋 混账 王八蛋 王八羔子 狗东西 狗杂种 狗娘 下三滥 "
-        "下贱 贱人 贱货 贱骨头 贱种 低贱 无耻 不要脸 死全家 滚蛋 神经病 死妈 操你 草泥马 尼玛 妈的 他妈 脑子进水 脑子落 没脑子 回炉重造 也配 全家都是 骂的就是你 跟你这种 idiot moron scum dumb stupid retard "
+        "下贱 贱人 贱货 贱骨头 贱种 低贱 无耻 不要脸 死全家 滚蛋 神经病 死妈 操你 草泥马 尼玛 妈的 他妈 脑子进水 脑子落 没脑子 回炉重造 看一眼都想吐 也敢发照片 也配 全家都是 骂的就是你 跟你这种 idiot moron scum dumb stupid retard "
         "bastard asshole trash loser fuck shit bitch pig"
     ).split(),
     "threat": "去死 不得好死 断子绝孙 打死 弄死 砍死 杀了你 杀你 收拾你 上门收拾 你家在哪 出门小心 小心点 等着瞧 扒了你 跳楼吧 烧死 该死 偿命 报应".split(),
@@ -119,13 +119,24 @@ class Stems:
         self.automaton = ahocorasick.Automaton()
         for k, kind in enumerate(_KINDS):
             for stem in STEMS[kind]:
-                self.automaton.add_word(stem, k)
+                self.automaton.add_word(stem, (k, len(stem), stem.isascii()))
         self.automaton.make_automaton()
 
+    def _find(self, text: str) -> set[int]:
+        """Kinds of the stems in a text; a stem in Latin letters is a whole word or its plural."""
+        found = set()
+        for end, (k, size, latin) in self.automaton.iter(text):
+            if latin:
+                before, after = text[max(0, end - size) : end - size + 1] if end >= size else "", text[end + 1 : end + 3]
+                if "a" <= before <= "z" or "a" <= after[:1] <= "z" and (after[0] != "s" or "a" <= after[1:] <= "z"):
+                    continue
+            found.add(k)
+        return found
+
     def kinds(self, text: str) -> set[int]:
-        found = {k for _, k in self.automaton.iter(text)}
+        found = self._find(text)
         if "*" in text:
-            found |= {k for _, k in self.automaton.iter(text.translate(_LOOKS))}
+            found |= self._find(text.translate(_LOOKS))
             for word in re.findall(r"[a-z]+\*[a-z*]*", text):
                 pattern = re.compile(word.replace("*", "[a-z]") + "s?")
                 found |= {k for k, kind in enumerate(_KINDS) for stem in STEMS[kind] if pattern.fullmatch(stem)}
