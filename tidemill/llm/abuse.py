@@ -30,7 +30,7 @@ _NGRAMS = (1, 2, 3, 4, 5)
 STEMS = {
     "insult": (
         "白痴 智障 弱智 脑残 傻逼 傻b 傻叉 傻缺 煞缺 煞笔 沙雕 蠢猪 蠢货 蠢驴 废物 废柴 窝囊废 垃圾人 人渣 杂碎 杂种 畜生 畜牲 混蛋 混账 王八蛋 王八羔子 狗东西 狗杂种 狗娘 下三滥 "
-        "下贱 贱人 贱货 贱骨头 贱种 低贱 无耻 不要脸 死全家 滚蛋 神经病 死妈 操你 草泥马 尼玛 妈的 他妈 脑子进水 脑子落 没脑子 回炉重造 看一眼都想吐 也敢发照片 也配 全家都是 骂的就是你 跟你这种 idiot moron scum dumb stupid retard "
+        "下贱 贱人 贱货 贱骨头 贱种 低贱 无耻 不要脸 死全家 滚蛋 神经病 死妈 操你 草泥马 尼玛 妈的 他妈 脑子进水 脑子落 没脑子 回炉重造 看一眼都想吐 也敢发照片 也配 全家都是 骂的就是你 跟你这种 idiot moron scum scumbag dumb dumbass stupid retard "
         "bastard asshole trash loser fuck shit bitch pig"
     ).split(),
     "threat": "去死 不得好死 断子绝孙 打死 弄死 砍死 杀了你 杀你 收拾你 上门收拾 你家在哪 出门小心 小心点 等着瞧 扒了你 跳楼吧 烧死 该死 偿命 报应".split(),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import abuse, lookalikes, mojibake, packing, residue, tokens, truncation
+from tidemill.llm import abuse, lookalikes, mojibake, packing, residue, subjects, tokens, truncation
 from tidemill.runtime import checkpointed, table
 
 
@@ -90,8 +90,24 @@ def p8_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(p8_packed(spark, sf_dir))
 
 
+def p9_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    rules = subjects.fit_rules(documents, table(spark, sf_dir, "doc_labels", "doc_id", "subject"), table(spark, sf_dir, "ticker_entities"))
+    return subjects.subjects_of(documents, rules)
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_subjects(spark, sf_dir).select("doc_id", "subject").distinct()
+
+
+def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "subjects", "subject", "name_en")
+    found = p9_subjects(spark, sf_dir).groupBy("subject").agg(F.count("*").alias("documents"), F.sum("sentences").alias("sentences"))
+    return names.join(found, "subject", "left").na.fill(0, ["documents", "sentences"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p7_ids, p8_packed, p8_report)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p7_ids, p8_packed, p8_report, p9_found, p9_subjects, p9_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
