@@ -20,7 +20,7 @@ from tidemill.llm.residue import inspector
 from tidemill.runtime import checkpointed, ship
 
 #: Lengths of the endings, the longest with enough support decides.
-ENDINGS = (8, 5, 3)
+ENDINGS = (6, 3)
 MIN_SUPPORT = 3  # how often an ending must occur inside other values
 MAX_FINAL = 0.04  # a sentence seldom ends there: the value was cut
 
@@ -119,9 +119,9 @@ def _endings(texts: list[str]) -> list[dict[int, int | None]]:
 
 
 def _count_endings(batches):
-    """Partial counts (ending, k, times, times final) of all strings of the fixed lengths inside all values."""
+    """Partial counts (ending, times, times final) of all strings of the fixed lengths inside all values."""
     for batch in batches:
-        texts = [plain(t) for t in batch.column(0).to_pylist() if t]
+        texts = [plain(t) for column in batch.columns for t in column.to_pylist() if t]
         if not texts:
             continue
         codes = np.frombuffer(("\x00".join(texts) + "\x00").encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -137,10 +137,7 @@ def _count_endings(batches):
             whole[: k - 1] = False
             whole[k - 1 :] &= (separators[k - 1 : -1] == separators[: len(codes) - k]) & (codes[: len(codes) - k] != 0)
             keys, n = np.unique((h[whole] << 1) | final[whole], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys >> 1), pa.array(np.full(len(keys), k, np.int32)), pa.array(n.astype(np.int64)), pa.array(np.where(keys & 1, n, 0).astype(np.int64))],
-                names=["ending", "k", "n", "n_final"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(keys >> 1), pa.array(n.astype(np.int64)), pa.array(np.where(keys & 1, n, 0).astype(np.int64))], names=["ending", "n", "n_final"])
 
 
 class _Waiting:
@@ -157,62 +154,84 @@ class _Waiting:
             return False
         return True if self.kind in ("open", "markup", "lost", "more") else None
 
-    def row(self, sure: bool | None) -> tuple:
-        return self.value, self.kind, sure, plain(self.core)[-max(ENDINGS) :]
+    def row(self, keys: tuple, sure: bool | None, seam: str | None = None) -> tuple:
+        return *keys, self.kind, sure, plain(self.core)[-max(ENDINGS) :], seam
 
 
-def _inspect(batches, firsts: list[tuple[int, str]]):
+def _inspect(batches):
     """Over distinct values in sorted order: how each ends, and whether a later one goes on where it stops.
 
     Values that start with the same text stand together. A value waits for as long as the following ones start
-    with it, so only values that are prefixes of one another ever wait at the same time.
+    with it, so only values that are prefixes of one another ever wait at the same time. The first value of a
+    partition and those that still wait at its end come out with their text, for the seams.
     """
-    waiting: list[_Waiting] = []
+    waiting: list[tuple[_Waiting, tuple]] = []
     rows: list[tuple] = []
-
-    def meet(value: str) -> None:
-        still = []
-        for w in waiting:
-            if not value.startswith(w.core):
-                rows.append(w.row(None))
-                continue
-            after = value[len(w.core) : len(w.core) + 1]
-            if after.isalnum() or after and after in "，,、":
-                rows.append(w.row(True))
-            else:
-                still.append(w)
-        waiting[:] = still
-
+    here = TaskContext.get().partitionId()
+    first = None
     for batch in batches:
-        for value in batch.column(0).to_pylist():
-            meet(value)
+        for value, one, two in zip(*(c.to_pylist() for c in batch.columns)):
+            if first is None:
+                first = value
+                rows.append((one, two, "first", None, "", value))
+            waiting = _meet(value, waiting, rows)
             new = _Waiting(value)
             sure = new.surely()
             if sure is None:
-                waiting.append(new)
+                waiting.append((new, (one, two)))
             else:
-                rows.append(new.row(sure))
+                rows.append(new.row((one, two), sure))
         if len(rows) > 20_000:
-            yield _inspected(rows)
+            yield _inspected(rows, here)
             rows.clear()
-    here = TaskContext.get().partitionId()
-    for part, first in firsts:
-        if part > here:
-            meet(first)
-            break
-    rows += [w.row(None) for w in waiting]
+    rows += [new.row(keys, None, new.value) for new, keys in waiting]
     if rows:
-        yield _inspected(rows)
+        yield _inspected(rows, here)
+
+
+def _meet(value: str, waiting: list[tuple[_Waiting, tuple]], rows: list[tuple]) -> list[tuple[_Waiting, tuple]]:
+    """What still waits after ``value`` came; what is settled goes to ``rows``."""
+    still = []
+    for new, keys in waiting:
+        if not value.startswith(new.core):
+            rows.append(new.row(keys, None))
+            continue
+        after = value[len(new.core) : len(new.core) + 1]
+        if after.isalnum() or after and after in "，,、":
+            rows.append(new.row(keys, True))
+        else:
+            still.append((new, keys))
+    return still
 
 
-def _inspected(rows: list[tuple]) -> pa.RecordBatch:
-    endings = _endings([r[3] for r in rows])
+_INSPECTED = "one long, two int, kind string, sure boolean, " + ", ".join(f"e{k} long" for k in ENDINGS) + ", part int, seam string"
+
+
+def _inspected(rows: list[tuple], part: int) -> pa.RecordBatch:
+    one, two, kind, sure, tails, seams = zip(*rows)
+    endings = _endings(list(tails))
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), pa.array([r[2] for r in rows], pa.bool_())] + [pa.array([e[k] for e in endings], pa.int64()) for k in ENDINGS],
-        names=["value", "kind", "sure", *(f"e{k}" for k in ENDINGS)],
+        [pa.array(one, pa.int64()), pa.array(two, pa.int32()), pa.array(kind, pa.string()), pa.array(sure, pa.bool_())]
+        + [pa.array([e[k] for e in endings], pa.int64()) for k in ENDINGS]
+        + [pa.array(np.full(len(rows), part, np.int32)), pa.array(seams, pa.string())],
+        names=["one", "two", "kind", "sure", *(f"e{k}" for k in ENDINGS), "part", "seam"],
     )
 
 
+def _settle(seams: list[tuple]) -> list[tuple]:
+    """The values that wait at the end of a partition, settled by the first values of the next ones.
+
+    ``seams``: (part, kind, one, two, text), two or three for each partition.
+    """
+    waiting, rows = [], []
+    for part, kind, one, two, text in sorted(seams, key=lambda r: (r[0], r[1] != "first")):
+        if kind == "first":
+            waiting = _meet(text, waiting, rows)
+        else:
+            waiting.append((_Waiting(text), (one, two)))
+    return rows + [new.row(keys, None) for new, keys in waiting]
+
+
 def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), key: str = "id") -> DataFrame:
     """(key, field, kind) of the values that end inside a sentence; ``kind`` is how they end.
 
@@ -223,25 +242,34 @@ def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), k
     ship(spark)
     values = df.select(key, F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields))).alias("_v")).select(key, "_v.field", "_v.value")
     values = values.where(F.length(F.trim("value")) > 0)
-    distinct = values.select("value").distinct()
-    # Range partitions of the sorted values hold any number of values that start alike. Each also learns the
-    # first value of the next one, which can continue its last; there are as many of those as partitions.
+    # A value is known by two hashes, 96 bits, wherever its text isn't needed.
+    keys = (F.xxhash64("value").alias("one"), F.hash("value").alias("two"))
     parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = checkpointed(distinct.repartitionByRange(parts, "value").sortWithinPartitions("value"))
-    firsts = sorted(map(tuple, ordered.groupBy(F.spark_partition_id()).agg(F.min("value")).collect()))
-    inspected = checkpointed(ordered.mapInArrow(lambda batches: _inspect(batches, firsts), "value string, kind string, sure boolean, " + ", ".join(f"e{k} long" for k in ENDINGS)))
-    open_ones = inspected.where("sure is null")
-    asked = open_ones.select("value", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"e{k}").alias("ending")) for k in ENDINGS))).alias("_e")).select("value", "_e.k", "_e.ending").where("ending is not null")
-    known = ordered.mapInArrow(_count_endings, "ending long, k int, n long, n_final long").groupBy("ending", "k").agg(F.sum("n").alias("n"), F.sum("n_final").alias("n_final"))
-    answers = asked.join(known.where(F.col("n") >= MIN_SUPPORT), ["ending", "k"]).groupBy("value").agg(F.max_by(F.col("n_final") / F.col("n"), "k").alias("final_share"))
-    decided = inspected.join(answers, "value", "left").withColumn(
+    # Range partitions of the sorted values hold any number of values that start alike; copies are gone by then.
+    ordered = values.select("value").distinct().repartitionByRange(parts, "value").sortWithinPartitions("value").select("value", *keys)
+    inspected = checkpointed(ordered.mapInArrow(_inspect, _INSPECTED))
+    seams = inspected.where("seam is not null").select("part", "kind", "one", "two", "seam").collect()  # a few for each partition
+    settled = [(*r[:4], *_endings([r[4]])[0].values()) for r in _settle(list(map(tuple, seams)))]
+    columns = ["one", "two", "kind", "sure", *(f"e{k}" for k in ENDINGS)]
+    inspected = inspected.where("seam is null").select(*columns)
+    if settled:
+        inspected = inspected.unionAll(spark.createDataFrame(settled, inspected.schema))
+    asked = (
+        inspected.where("sure is null")
+        .select("one", "two", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"e{k}").alias("ending")) for k in ENDINGS))).alias("_e"))
+        .select("one", "two", "_e.k", "_e.ending")
+        .where("ending is not null")
+    )
+    known = df.select(*fields).mapInArrow(_count_endings, "ending long, n long, n_final long").groupBy("ending").agg(F.sum("n").alias("n"), F.sum("n_final").alias("n_final"))
+    answers = asked.join(known.where(F.col("n") >= MIN_SUPPORT), "ending").groupBy("one", "two").agg(F.max_by(F.col("n_final") / F.col("n"), "k").alias("final_share"))
+    decided = inspected.join(answers, ["one", "two"], "left").withColumn(
         "cut",
         F.when(F.col("sure").isNotNull(), F.col("sure"))
         .when(F.col("kind") == "short dots", F.coalesce(F.col("final_share") < 0.5, F.lit(True)))
         .when(F.col("kind") == "dots", F.coalesce(F.col("final_share") < MAX_FINAL, F.lit(True)))
         .otherwise(F.coalesce(F.col("final_share") < MAX_FINAL, F.lit(False))),
     )
-    return values.join(decided.where("cut").select("value", "kind"), "value").select(key, "field", "kind")
+    return values.select(key, "field", *keys).join(decided.where("cut").select("one", "two", "kind"), ["one", "two"]).select(key, "field", "kind")
 
 
 def truncation_report(df: DataFrame, cut: DataFrame, by: str = "channel", claim: str = "social_body_quality", fields: tuple[str, ...] = ("summary", "content"), key: str = "id") -> DataFrame:
