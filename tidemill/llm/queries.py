@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import abuse, lookalikes, mojibake, packing, residue, subjects, tokens, truncation
-from tidemill.runtime import checkpointed, table
+from tidemill.llm import abuse, lookalikes, mojibake, neardup, packing, residue, subjects, tokens, truncation
+from tidemill.runtime import checkpointed, spread, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,25 @@ def p5_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse.severity_rates(p5_scores(spark, sf_dir), table(spark, sf_dir, "raw_social", "id", "channel"))
 
 
+def _out_of_part(spark: SparkSession, sf_dir: str, ids: DataFrame) -> DataFrame:
+    """(id) of those ``ids`` whose content passed through a wrong encoding or is template residue."""
+    media = table(spark, sf_dir, "raw_media", "id", "content")
+    shared = mojibake.share_frequencies(spread(media, "id"), ("content",))
+    asked = checkpointed(media.join(ids, "id", "left_semi").distinct())
+    return mojibake.restore_values(asked, columns=("content",), shared=shared).select("id").unionAll(residue.residue(asked).select("id")).distinct()
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = checkpointed(neardup.record_pairs(*neardup.class_pairs(table(spark, sf_dir, "raw_media", "id", "content"))))
+    ids = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    out = checkpointed(_out_of_part(spark, sf_dir, ids))
+    return pairs.join(out.select(F.col("id").alias("id_a")), "id_a", "left_anti").join(out.select(F.col("id").alias("id_b")), "id_b", "left_anti").select("id_a", "id_b")
+
+
+def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(*neardup.class_pairs(table(spark, sf_dir, "raw_media", "id", "content")))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -107,7 +126,7 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p7_ids, p8_packed, p8_report, p9_found, p9_subjects, p9_composition)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p6_found, p6_groups, p7_ids, p8_packed, p8_report, p9_found, p9_subjects, p9_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
