@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from tidemill.runtime import ship, spread
 
 #: Bounds of what is fitted: documents of the labels, and as many of those that the first rules are sure about.
-MAX_LABELLED, MAX_SELF = 4000, 4000
+MAX_LABELLED, MAX_SELF = 1500, 1500
 SHARE = 0.25
-_LENGTHS = (2, 3, 4, 5, 6)
+_LENGTHS = (2, 3, 4, 6)
+#: Terms of a sentence that are mined together, its longest ones; frequent sets grow with two to this power.
+_MINED = 5
 _CLASS = "="
 _SENTENCE = re.compile(r"[^。！？!?\n.]+(?:\.(?=\S)[^。！？!?\n.]*)*[。！？!?\n.]?")
 _HAN = re.compile("[㐀-鿿]+")
@@ -143,11 +145,11 @@ def mine_rules(spark: SparkSession, docs: list[tuple[list[str], list[str]]], mat
             if terms:
                 seen += 1
                 prior.update(subjects)
-                transactions.append([*terms[:8], *(_CLASS + x for x in subjects)])
+                transactions.append([*sorted(terms, key=lambda t: (-len(t), t))[:_MINED], *(_CLASS + x for x in subjects)])
     if not transactions:
         return {}
     frame = spark.createDataFrame([(t,) for t in transactions], "items array<string>").repartition(spark.sparkContext.defaultParallelism)
-    model = FPGrowth(itemsCol="items", minSupport=max(least, 1e-5 * seen) / len(transactions), minConfidence=1.0, numPartitions=spark.sparkContext.defaultParallelism).fit(frame)
+    model = FPGrowth(itemsCol="items", minSupport=max(least, 1e-4 * seen) / len(transactions), minConfidence=1.0, numPartitions=spark.sparkContext.defaultParallelism).fit(frame)
     small = F.size(F.filter("items", lambda i: ~i.startswith(_CLASS)))
     classes = F.size("items") - small
     # patterns of the bounded sample: few terms with at most one subject
