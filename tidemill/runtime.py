@@ -53,6 +53,12 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def ship_active() -> None:
+    """:func:`ship` for the active session, for functions that only see columns."""
+    if (spark := SparkSession.getActiveSession()) is not None:
+        ship(spark)
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give CPU-heavy Python stages at least as many partitions as there are cores.
 
