@@ -124,10 +124,8 @@ class Rewriter:
             classes.union(a, b)
         self.counts, self.automaton, self.map = counts, ahocorasick.Automaton(), {}
         for group in classes.groups():
-            # ASCII before frequency: frequency decides among forms of equal standing
-            best = min(group, key=lambda s: (-counts.get(s, 0), not s.isascii(), len(s), s))
-            if not best.isascii() and any(s.isascii() for s in group):
-                best = min((s for s in group if s.isascii()), key=lambda s: (-counts.get(s, 0), s))
+            # ASCII and forms that Unicode keeps come first; among forms of equal standing the corpus decides
+            best = min(group, key=lambda s: (not s.isascii(), s in RADICALS or unicodedata.normalize("NFKC", s) != s, -counts.get(s, 0), len(s), s))
             for s in group:
                 if s != best and not s.isascii() and s not in _OTHER_SCRIPT:
                     self.map[s] = best

@@ -102,7 +102,7 @@ def choose_terms(docs: list[tuple[list[str], list[str]]], least: int = 3, purity
             for s in mark:
                 by[s] += times / len(mark)
         best, weight = max(by.items(), key=lambda x: (x[1], x[0]))
-        if weight / n >= purity and weight / n >= 2.5 * prior[best] / total:
+        if weight / n >= purity and weight / n >= prior[best] / total + 0.3:
             terms.append(g)
     return terms
 
