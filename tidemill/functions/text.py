@@ -72,7 +72,11 @@ def combined(*columns: Column) -> Column:
 
 def contains_any(column: Column, words: list[str]) -> Column:
     """Whether any word occurs, whatever its case."""
-    lowered = F.lower(text(column))
+    return any_of(F.lower(text(column)), words)
+
+
+def any_of(lowered: Column, words: list[str]) -> Column:
+    """Whether any word occurs in a column that is in lower case already."""
     out = F.lit(False)
     for w in words:
         out = out | F.contains(lowered, F.lit(w.lower()))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import WS, cjk_count, combined, contains_any, content_chars, engagement, nonempty, stable_hash, text, without_tags
+from tidemill.functions.text import WS, any_of, cjk_count, combined, content_chars, engagement, nonempty, stable_hash, text, without_tags
 from tidemill.functions.times import day_bucket
 from tidemill.runtime import checkpointed
 
@@ -31,21 +31,21 @@ def score_quality(df: DataFrame, title: str = "title", summary: str = "summary",
     One cascade of built-in expressions; null counters count as 0, texts without anything are dropped as empty.
     """
     body = F.col("_body")
-    df = df.withColumn("_body", combined(*(F.col(c) for c in (title, summary, content))))
+    df = df.withColumn("_body", combined(*(F.col(c) for c in (title, summary, content)))).withColumn("_lower", F.lower("_body"))
     df = df.withColumns(
         {
             "_cjk": cjk_count(body),
             "_chars": content_chars(body),
-            "_event": contains_any(body, EVENT),
-            "_reasoning": contains_any(body, REASONING),
-            "_market": contains_any(body, MARKET),
+            "_event": any_of(F.col("_lower"), EVENT),
+            "_reasoning": any_of(F.col("_lower"), REASONING),
+            "_market": any_of(F.col("_lower"), MARKET),
             "_eng": engagement(*(F.col(c).cast("string") for c in counters)) if counters else F.lit(0),
             "_summary": without_tags(F.col(summary)),
         }
     )
     cjk, chars, event, reasoning, market, eng = (F.col(f"_{c}") for c in ("cjk", "chars", "event", "reasoning", "market", "eng"))
     marker_only = F.regexp_replace(F.regexp_replace(body, _MARKS, ""), _MARKER, "") == ""
-    drop = F.when(body == "", "empty_text").when(marker_only, "stock_marker_only").when(contains_any(body, SPAM), "spam_or_leadgen").when((cjk < 8) & ~event & ~market, "too_short_without_signal")
+    drop = F.when(body == "", "empty_text").when(marker_only, "stock_marker_only").when(any_of(F.col("_lower"), SPAM), "spam_or_leadgen").when((cjk < 8) & ~event & ~market, "too_short_without_signal")
     number, chatty, thin = body.rlike(r"\p{Nd}"), body.rlike("[哈啊呀哦嗯]{2,}|[!?！？。]{3,}"), (cjk < 16) & ~event & ~reasoning
     points = (
         F.when(cjk >= 120, 45).when(cjk >= 60, 35).when(cjk >= 24, 25).when(cjk >= 8, 12).otherwise(0)
@@ -88,7 +88,7 @@ def score_quality(df: DataFrame, title: str = "title", summary: str = "summary",
         (F.col("_drop").isNull() & F.col("_cut") & (chars < 80)).alias("detail_required"),
         eng.alias("engagement"),
     )
-    return df.withColumn("quality", quality).drop("_body", "_cjk", "_chars", "_event", "_reasoning", "_market", "_eng", "_summary", "_drop", "_cut")
+    return df.withColumn("quality", quality).drop("_body", "_lower", "_cjk", "_chars", "_event", "_reasoning", "_market", "_eng", "_summary", "_drop", "_cut")
 
 
 def window_quota(quota_7_days: int, start: Column, end: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import codes, times
 from tidemill.functions import text as T
 from tidemill.operators import dedupe, quality, relevance, reports, tables
-from tidemill.runtime import table
+from tidemill.runtime import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +28,15 @@ def query(sql: str | None = None):
     return add
 
 
+def _rows(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
+    """Distinct rows of a table of records, spread by their first column, so that the distinct needs no exchange of its own."""
+    return spread(table(spark, d, name, *columns), columns[0]).distinct()
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return spread(table(spark, d, "documents", "doc_id", "text"), "doc_id")
+
+
 # Shared pieces of the SQL.
 _WS = r"[\t-\r\x{1c}-\x{1f}\x{85}\p{Z}]"
 def _collapse(c: str) -> str:
@@ -68,14 +77,14 @@ def length_label(spark, d):
 
 @query(f"SELECT doc_id, md5({_collapse('text')}) AS collapsed, md5({_identity('text')}) AS identity FROM documents")
 def text_normalise(spark, d):
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", F.md5(T.collapse(F.col("text"))).alias("collapsed"), F.md5(T.identity_text(F.col("text"))).alias("identity"))
+    return _documents(spark, d).select("doc_id", F.md5(T.collapse(F.col("text"))).alias("collapsed"), F.md5(T.identity_text(F.col("text"))).alias("identity"))
 
 
 @query(
     "SELECT doc_id, length(regexp_replace(coalesce(text, ''), '[^A-Za-z0-9一-鿿]', '', 'g')) AS chars, length(regexp_replace(coalesce(text, ''), '[^一-鿿]', '', 'g')) AS han FROM documents"
 )
 def content_chars(spark, d):
-    return table(spark, d, "documents", "doc_id", "text").select("doc_id", T.content_chars(F.col("text")).alias("chars"), T.cjk_count(F.col("text")).alias("han"))
+    return _documents(spark, d).select("doc_id", T.content_chars(F.col("text")).alias("chars"), T.cjk_count(F.col("text")).alias("han"))
 
 
 @query(
@@ -83,7 +92,7 @@ def content_chars(spark, d):
       SELECT doc_id, sha256({_identity('text')}) AS hash FROM documents WHERE {_identity('text')} <> '') GROUP BY hash"""
 )
 def exact_dedupe(spark, d):
-    docs = table(spark, d, "documents", "doc_id", "text").select("doc_id", T.content_hash(F.col("text")).alias("hash")).where("hash <> ''")
+    docs = _documents(spark, d).select("doc_id", T.content_hash(F.col("text")).alias("hash")).where("hash <> ''")
     return docs.groupBy("hash").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc"))
 
 
@@ -96,7 +105,7 @@ def exact_dedupe(spark, d):
     SELECT doc_id, count(*) AS distinct_tokens, sum(times)::BIGINT AS tokens FROM c GROUP BY doc_id"""
 )
 def token_counts(spark, d):
-    docs = table(spark, d, "documents", "doc_id", "text").select("doc_id", F.explode(T.tokens(F.col("text"))).alias("token"))
+    docs = _documents(spark, d).select("doc_id", F.explode(T.tokens(F.col("text"))).alias("token"))
     return docs.groupBy("doc_id", "token").agg(F.count("*").alias("times")).groupBy("doc_id").agg(F.count("*").alias("distinct_tokens"), F.sum("times").alias("tokens"))
 
 
@@ -113,7 +122,7 @@ _SIMHASH_TABLE = rf"""rows AS (SELECT DISTINCT id, concat_ws(' ', coalesce(title
 
 @query(f"WITH {_SIMHASH_TABLE} SELECT n.id, CASE WHEN coalesce(simhash, 0) = 0 THEN NULL ELSE printf('%016x', simhash) END AS simhash FROM n LEFT JOIN p USING (id)")
 def simhash_value(spark, d):
-    rows = table(spark, d, "raw_media", "id", "title", "content").distinct()
+    rows = _rows(spark, d, "raw_media", "id", "title", "content")
     return dedupe.simhash(rows, "id", F.concat_ws(" ", T.text(F.col("title")), T.text(F.col("content")))).select("id", dedupe.simhash_hex(F.col("simhash")).alias("simhash"))
 
 
@@ -130,7 +139,7 @@ def near_dup_hashes(spark, d):
 
 @query()
 def near_dup_groups(spark, d):
-    rows = table(spark, d, "raw_media", "id", "market", "ticker", "task_id", "title", "content", "url", "published_at").distinct()
+    rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "task_id", "title", "content", "url", "published_at")
     rows = rows.withColumn("ordinal", F.concat_ws("|", F.coalesce(F.date_format("published_at", "yyyyMMddHHmmss"), F.lit("9")), "id"))
     grouped = dedupe.group_duplicates(rows, "ordinal", ["market", "ticker"])
     return dedupe.representatives(grouped).select("id", "group", "duplicate_count", F.array_join("duplicate_urls", " ").alias("duplicate_urls"))
@@ -147,7 +156,7 @@ def window_filter(spark, d):
     "SELECT coalesce(strftime(timezone('Asia/Shanghai', published_at), '%Y-%m-%d'), 'unknown') AS bucket, count(*) AS n FROM (SELECT DISTINCT id, published_at FROM raw_social) GROUP BY 1"
 )
 def day_bucket_counts(spark, d):
-    posts = table(spark, d, "raw_social", "id", "published_at").distinct()
+    posts = _rows(spark, d, "raw_social", "id", "published_at")
     return posts.groupBy(times.day_bucket(F.col("published_at")).alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -196,7 +205,7 @@ _QUALITY = rf"""posts AS (SELECT DISTINCT id, title, summary, content, url, publ
       (dropped IS NULL AND cut AND chars < 80) AS detail_required FROM r"""
 )
 def quality_score(spark, d):
-    posts = table(spark, d, "raw_social", "id", "title", "summary", "content", *quality.COUNTERS).distinct()
+    posts = _rows(spark, d, "raw_social", "id", "title", "summary", "content", *quality.COUNTERS)
     q = quality.score_quality(posts)
     return q.select("id", "quality.score", "quality.tier", F.array_join("quality.reasons", ",").alias("reasons"), "quality.body_quality", "quality.detail_required")
 
@@ -214,7 +223,7 @@ def quality_score(spark, d):
     SELECT e.id, e.bucket, e.ok AND c.ukey IS NOT NULL AS selected FROM e LEFT JOIN c USING (ukey)"""
 )
 def stratified_sample(spark, d):
-    posts = table(spark, d, "raw_social", "id", "title", "summary", "content", "url", "published_at", *quality.COUNTERS).distinct()
+    posts = _rows(spark, d, "raw_social", "id", "title", "summary", "content", "url", "published_at", *quality.COUNTERS)
     return quality.stratified_sample(quality.score_quality(posts), 500, "published_at", "id").select("id", "bucket", "selected")
 
 
@@ -248,7 +257,7 @@ def company_aliases(spark, d):
 
 @query()
 def relevance_ladder(spark, d):
-    rows = table(spark, d, "raw_media", "id", "market", "ticker", "title", "summary", "content").distinct()
+    rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "title", "summary", "content")
     labelled = relevance.relevance(rows.join(_alias_dimension(spark, d), ["market", "ticker"], "left"), "title", "content", "summary", "aliases")
     return labelled.select("id", "decision.*")
 
@@ -261,7 +270,7 @@ def relevance_ladder(spark, d):
 )
 def alias_mentions(spark, d):
     names = entity_merge(spark, d).where(~F.col("short_name").rlike("^[A-Za-z0-9.:-]+$")).select("market", "ticker", "short_name")
-    rows = table(spark, d, "raw_media", "id", "market", "ticker", "content").distinct().join(names, ["market", "ticker"])
+    rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "content").join(names, ["market", "ticker"])
     rows = rows.where(~T.collapse(F.col("content")).rlike(f"[一-鿿]{T.WS}+[一-鿿]"))
     return rows.select("id", codes.mentions(F.col("content"), F.array("short_name")).alias("mentions"))
 
@@ -271,14 +280,14 @@ def alias_mentions(spark, d):
     SELECT id, coalesce(array_to_string(list_transform(list_filter(regexp_extract_all(t, '\p{Nd}+'), lambda x: regexp_full_match(x, '[03468]\p{Nd}{5}')), lambda x: coalesce(nullif(ltrim(x, '0'), ''), '0')), ','), '') AS codes FROM t"""
 )
 def stock_codes(spark, d):
-    rows = table(spark, d, "raw_media", "id", "content").distinct()
+    rows = _rows(spark, d, "raw_media", "id", "content")
     six = F.regexp_extract_all(T.text(F.col("content")), F.lit(r"(?<!\p{Nd})([03468]\p{Nd}{5})(?!\p{Nd})"), F.lit(1))
     return rows.select("id", F.array_join(F.transform(six, lambda c: F.coalesce(F.nullif(F.ltrim(c, F.lit("0")), F.lit("")), F.lit("0"))), ",").alias("codes"))
 
 
 @query()
 def all_stock_codes(spark, d):
-    return table(spark, d, "raw_media", "id", "content").distinct().select("id", F.array_join(codes.stock_codes(F.col("content")), ",").alias("codes"))
+    return _rows(spark, d, "raw_media", "id", "content").select("id", F.array_join(codes.stock_codes(F.col("content")), ",").alias("codes"))
 
 
 @query(
@@ -348,7 +357,7 @@ def json_props(spark, d):
     SELECT *, round(with_body / rows, 4) AS body_share, round(relevant / rows, 4) AS relevant_share FROM g"""
 )
 def channel_summary(spark, d):
-    rows = table(spark, d, "raw_media", "id", "channel", "title", "content", "is_content_relevant").distinct()
+    rows = _rows(spark, d, "raw_media", "id", "channel", "title", "content", "is_content_relevant")
     return reports.channel_summary(rows, "channel", T.media_body(F.col("content"), F.col("title")), F.col("is_content_relevant"))
 
 
@@ -378,7 +387,7 @@ def union_sources(spark, d):
 
 @query("SELECT market, ticker, count(*) AS n FROM (SELECT DISTINCT id, market, ticker FROM raw_social) GROUP BY ALL")
 def rows_per_ticker(spark, d):
-    return table(spark, d, "raw_social", "id", "market", "ticker").distinct().groupBy("market", "ticker").agg(F.count("*").alias("n"))
+    return _rows(spark, d, "raw_social", "id", "market", "ticker").groupBy("market", "ticker").agg(F.count("*").alias("n"))
 
 
 @query("SELECT task_id, epoch_us(min(published_at)) AS oldest, epoch_us(max(published_at)) AS newest FROM raw_media GROUP BY task_id")
@@ -389,7 +398,7 @@ def page_bounds(spark, d):
 
 @query()
 def garbled_rows(spark, d):
-    rows = table(spark, d, "raw_media", "id", "title", "summary", "content").distinct()
+    rows = _rows(spark, d, "raw_media", "id", "title", "summary", "content")
     bad = T.garbled(F.col("title")) | T.garbled(F.col("summary")) | T.garbled(F.col("content"))
     return rows.where(bad).select("id")
 
