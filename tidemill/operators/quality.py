@@ -69,11 +69,13 @@ def score_quality(df: DataFrame, title: str = "title", summary: str = "summary",
             F.when(thin, F.lit("thin_context")),
         )
     )
-    score = F.when(F.col("_drop") == "too_short_without_signal", 5).when(F.col("_drop").isNotNull(), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), points)))
+    score = F.when(F.col("_drop") == "too_short_without_signal", 5).when(F.col("_drop").isNotNull(), 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), F.col("_points"))))
     cut = F.length("_summary") >= 110
     for mark in ELLIPSIS:
         cut = cut | F.contains(F.concat_ws(" ", F.col("_summary"), body), F.lit(mark))
-    df = df.withColumns({"_drop": drop, "_cut": cut})
+    df = df.withColumns({"_drop": drop, "_cut": cut, "_points": points, "_reasons": reasons})
+    df = df.withColumn("_score", score)
+    score = F.col("_score")
     tier = F.when(F.col("_drop").isNotNull(), "drop").when(score >= 70, "high").when(score >= 40, "medium").otherwise("low")
     kind = (
         F.when(F.col("_drop") == "empty_text", "empty").when(F.col("_drop") == "spam_or_leadgen", "spam").when(F.col("_drop").isNotNull(), "list_complete_short")
@@ -82,13 +84,13 @@ def score_quality(df: DataFrame, title: str = "title", summary: str = "summary",
     quality = F.struct(
         score.cast("int").alias("score"),
         tier.alias("tier"),
-        F.when(F.col("_drop").isNotNull(), F.array("_drop")).otherwise(reasons).alias("reasons"),
+        F.when(F.col("_drop").isNotNull(), F.array("_drop")).otherwise(F.col("_reasons")).alias("reasons"),
         kind.alias("body_quality"),
         F.when(F.col("_drop") == "empty_text", 0).otherwise(chars).alias("content_chars"),
         (F.col("_drop").isNull() & F.col("_cut") & (chars < 80)).alias("detail_required"),
         eng.alias("engagement"),
     )
-    return df.withColumn("quality", quality).drop("_body", "_lower", "_cjk", "_chars", "_event", "_reasoning", "_market", "_eng", "_summary", "_drop", "_cut")
+    return df.withColumn("quality", quality).drop("_body", "_lower", "_cjk", "_chars", "_event", "_reasoning", "_market", "_eng", "_summary", "_drop", "_cut", "_points", "_reasons", "_score")
 
 
 def window_quota(quota_7_days: int, start: Column, end: Column) -> Column:
