@@ -1 +1 @@
-"""Reference operators over DataFrames."""
+"""Operators over tables of records."""
