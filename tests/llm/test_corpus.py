@@ -128,6 +128,45 @@ def test_residue(text, kinds):
     assert residue.Inspector().kinds(text) == kinds
 
 
+def _examples(parsed):
+    """One example for each alternative of a parsed pattern, optional parts left out."""
+    out = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            parts = [chr(value)]
+        elif name == "SUBPATTERN":
+            parts = _examples(value[-1])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            parts = [e * value[0] for e in _examples(value[2])] if value[0] else [""]
+        elif name == "BRANCH":
+            parts = [e for part in value[1] for e in _examples(part)]
+        elif name == "IN":
+            kind, first = value[0]
+            parts = [chr(first) if str(kind) == "LITERAL" else chr(first[0]) if str(kind) == "RANGE" else "x" if str(kind) == "NEGATE" or "WORD" in str(first) and "NOT" not in str(first) else " "]
+        else:
+            parts = ["x" if name in ("ANY", "NOT_LITERAL") else ""]
+        out = list(dict.fromkeys(a + b for a in out for b in parts))
+    return out
+
+
+@pytest.mark.parametrize("name", ["SLOTS", "UNSET", "FILLER", "ERRORS", "SCRIPTS"])
+def test_prefilter_passes_every_alternative(name):
+    pattern = getattr(residue, name)
+    matched = [e for e in _examples(residue._parser.parse(pattern.pattern, pattern.flags)) if pattern.search(e)]
+    assert len(matched) > 5 and all(any(c in e for c in residue._CUES) for e in matched)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["来源：【插入公司简称】", "400 Bad Request", "401 Unauthorized", "429 Too Many Requests", "该文章已删除", "内容已屏蔽", "系统异常，稍后再试", "登录已失效", "你的访问过于频繁", "访问的资源不存在", "编辑部测试稿", "标题最多20个字", "Exception in thread"]
+    + ["【测试测试测试测试】", "(consectetur adipiscing elit sed do tempor)", "\n".join([NEWS[0] * 3, "哈哈哈哈哈哈哈哈哈"])],
+)
+def test_prefilter_keeps_verdicts(text):
+    want = {kind for m in text.splitlines() if (kind := residue.classify(m))}
+    assert want and set(residue.Inspector().kinds(text)) == want
+
+
 def test_template_tree_joins_messages_that_differ_in_a_token():
     tree = residue.TemplateTree()
     for m in ("页面走丢了，<n>秒后返回首页", "页面走丢了，<n>秒后返回主页", "会话已过期，请重新登录"):

@@ -9,6 +9,7 @@ same however rows are spread over tasks. Unresolved slots inside ordinary senten
 from __future__ import annotations
 
 import re
+import re._parser as _parser
 import unicodedata
 
 import pyarrow as pa
@@ -35,6 +36,7 @@ _LATIN_FILLER = frozenset(
     "enim esse est et eu ex excepteur exercitation fugiat id in incididunt ipsum irure labore laboris laborum lorem magna minim mollit nisi non "
     "nostrud nulla occaecat officia pariatur proident qui quis reprehenderit sed sint sit sunt tempor ullamco ut velit veniam voluptate".split()
 )
+_LATIN = re.compile(r"[A-Za-z]+")
 FILLER = re.compile(
     r"上线前请替换|上線前請替換|用于排版预览|用於排版預覽|发布前填写|發布前填寫|在发布前.{0,6}填写|正文不限|标题最多.{1,6}字|標題最多.{1,6}字|编辑部测试稿|編輯部測試稿"
     r"|(?:这|這)是一段(?:占位|佔位|测试|測試|示例)|此处为(?:正文|标题|摘要)?(?:示例|占位)|此處為(?:正文|標題|摘要)?(?:示例|佔位)|测试稿.{0,12}删除|測試稿.{0,12}刪除"
@@ -62,12 +64,48 @@ REPORTS = re.compile(
     r"称|稱|表示|认为|認為|引发|引發|投诉|投訴|已恢复|已恢復|投资者|投資者|(?:该|該)平台|建议用|建議用|公司|股东|股東|编辑认为|记者|記者|(?:要求|提醒|提示)(?:用户|用戶|客户|客戶)|hypothesis|told|said|analysts|reported|一度"
 )
 
-#: Literals of which every message with a verdict holds at least one, in simplified and traditional spelling.
-_CUES = (
-    "{ <% @@ [[ %( %% &lt; __ null NaN undefined None nil [object 请 請 您 页面 頁面 网页 網頁 网络 網絡 服务器 服務器 伺服器 系统维护 系統維護 系统繁忙 错误 錯誤 失败 失敗 参数 參數 过期 過期 "
-    "验证 驗證 核验 核驗 滑块 滑塊 脚本 腳本 浏 瀏 JS cript ookie 占位 佔位 示例 样稿 樣稿 稿件 排版 rror Gateway Found Forbidden Unavailable Denied denied requests ignore eplace rowser "
-    "帖子 已被 审核 審核 维护中 維護中 替换 替換 不限 laceholder dummy <html <noscript URL 输入 輸入 填写 填寫 点击 點擊 重试 重試 Reference here 一段 psum orem"
-).split()
+
+def _needed(parsed) -> set[str] | None:
+    """Literals of which every match of a parsed pattern holds at least one; None if there are no such literals.
+
+    Of a sequence, the part with the longest shortest literal decides; alternatives need a literal each.
+    """
+    best, run = None, ""
+
+    def better(found: set[str] | None) -> set[str] | None:
+        return found if found and (best is None or min(map(len, found)) > min(map(len, best))) else best
+
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            run += chr(value)
+            continue
+        best, run = better({run} if run else None), ""
+        if name == "SUBPATTERN":
+            best = better(_needed(value[-1]))
+        elif name == "MAX_REPEAT" or name == "MIN_REPEAT":
+            best = better(_needed(value[2]) if value[0] else None)
+        elif name == "BRANCH":
+            parts = [_needed(part) for part in value[1]]
+            best = better(set().union(*parts) if all(parts) else None)
+        elif name == "IN" and all(str(kind) == "LITERAL" for kind, _ in value):
+            best = better({chr(code) for _, code in value})
+    return better({run} if run else None)
+
+
+def _literals(*patterns: re.Pattern) -> list[str]:
+    """Literals of which every match of any of the patterns holds at least one, derived from the patterns."""
+    out = set()
+    for pattern in patterns:
+        needed = _needed(_parser.parse(pattern.pattern, pattern.flags))
+        if needed is None:
+            raise ValueError(f"a match of {pattern.pattern[:60]} needs no literal")
+        out |= needed
+    return sorted(c for c in out if not any(d in c for d in out if d != c))
+
+
+#: Literals of which every message with a verdict holds one, but for repeated units and Latin filler.
+_CUES = _literals(SLOTS, UNSET, FILLER, ERRORS, SCRIPTS)
 #: Traditional characters of the patterns and their simplified forms, pairwise.
 _SIMPLE = str.maketrans(
     "頁網絡務錯誤數過驗證塊腳瀏覽請開啟關訪問帳戶維護載參級標題繼續顯頻異點擊試錄會話寫輸處輯審檢測權刪內須為發後這佔預樣許攔換網動拖從門們兩標編",
@@ -126,10 +164,7 @@ def classify(message: str) -> str | None:
         return "slot"
     if UNSET.search(message):
         return "unset"
-    words = re.findall(r"[A-Za-z]+", message)
-    if FILLER.search(message) or len(words) > 3 and 2 * sum(len(w) for w in words) > len(message) and sum(w.lower() in _LATIN_FILLER for w in words) > 0.6 * len(words):
-        return "filler"
-    if _REPEATED.match(message) and len(message.strip()) >= 8:
+    if FILLER.search(message) or _is_latin_filler(message) or _is_repeated(message):
         return "filler"
     if REPORTS.search(message):
         return None
@@ -152,13 +187,12 @@ class Inspector:
             return []
         if _DISTURBED.search(content):
             content = unicodedata.normalize("NFKC", _INVISIBLE.sub("", content))
+        content = content.translate(_SIMPLE)
         cued = any(map(content.__contains__, _CUES))
         out = []
-        if not cued and not _may_repeat(content, 60) and not _is_latin_filler(content):
-            return out
-        for message in _BREAK.split(content.translate(_SIMPLE)):
+        for message in _BREAK.split(content):
             message = message.strip()
-            if message and (cued and any(map(message.__contains__, _CUES)) or _may_repeat(message, 16) or _is_latin_filler(message)):
+            if message and (cued and any(map(message.__contains__, _CUES)) or _is_repeated(message) or _is_latin_filler(message)):
                 key = mask(message)
                 if key not in self.verdicts:
                     if len(self.verdicts) >= self.remember:
@@ -173,16 +207,14 @@ class Inspector:
         return sorted({kind for _, kind in self.messages(content)})
 
 
-def _may_repeat(text: str, distinct: int) -> bool:
-    """Whether a text can be one short unit over and over, by how few characters it uses."""
-    return len(text) >= 8 and text.count(text[0]) > 2 and len(set(text)) <= distinct
+def _is_repeated(message: str) -> bool:
+    """Whether a message is one short unit over and over."""
+    return len(message.strip()) >= 8 and bool(_REPEATED.match(message))
 
 
 def _is_latin_filler(message: str) -> bool:
-    if not "a" <= message[:1].lower() <= "z":
-        return False
-    words = message.lower().split()
-    return len(words) > 3 and sum(w.strip(".,;") in _LATIN_FILLER for w in words) > 0.5 * len(words)
+    words = _LATIN.findall(message)
+    return len(words) > 3 and 2 * sum(map(len, words)) > len(message) and sum(w.lower() in _LATIN_FILLER for w in words) > 0.6 * len(words)
 
 
 _INSPECTOR: list[Inspector] = []
