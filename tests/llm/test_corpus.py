@@ -167,6 +167,13 @@ def test_prefilter_keeps_verdicts(text):
     assert want and set(residue.Inspector().kinds(text)) == want
 
 
+@pytest.mark.parametrize("one, two", [("12121212", "11213141"), ("见https://a.cn/{{id}}", "见https://a.cn/x__y")])
+def test_verdicts_do_not_depend_on_order(one, two):
+    want = [residue.Inspector().kinds(t) for t in (one, two)]
+    forth, back = residue.Inspector(), residue.Inspector()
+    assert want[0] != want[1] and [forth.kinds(one), forth.kinds(two)] == want == [back.kinds(two), back.kinds(one)][::-1]
+
+
 def test_template_tree_joins_messages_that_differ_in_a_token():
     tree = residue.TemplateTree()
     for m in ("页面走丢了，<n>秒后返回首页", "页面走丢了，<n>秒后返回主页", "会话已过期，请重新登录"):

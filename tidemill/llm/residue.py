@@ -1,9 +1,8 @@
 """Problem 4: template residue, filler and error-page text within and instead of content.
 
 Messages are the lines and sentences of a content. Variable parts are masked, and a fixed-depth prefix tree
-(length, first tokens, similarity within the leaf) mines templates from them. A verdict is reached once for a
-masked message and propagated to all its occurrences; it depends on the message alone, so results are the
-same however rows are spread over tasks. Unresolved slots inside ordinary sentences are found separately.
+(length, first tokens, similarity within the leaf) mines templates from them. A verdict depends on the text of
+its message alone, variable parts included, so results are the same however rows are spread over tasks.
 """
 
 from __future__ import annotations
@@ -176,13 +175,13 @@ def classify(message: str) -> str | None:
 
 
 class Inspector:
-    """Verdicts of messages, reached once for each masked message; ``remember`` bounds the memory only."""
+    """Verdicts of messages, each of its own text, as patterns read digits and urls too; ``remember`` bounds the memory only."""
 
     def __init__(self, remember: int = 200_000):
         self.remember, self.verdicts = remember, {}
 
     def messages(self, content: str | None) -> list[tuple[str, str]]:
-        """(message, kind) of all messages of a content that are residue."""
+        """(masked message, kind) of all messages of a content that are residue."""
         if not content:
             return []
         if _DISTURBED.search(content):
@@ -193,13 +192,12 @@ class Inspector:
         for message in _BREAK.split(content):
             message = message.strip()
             if message and (cued and any(map(message.__contains__, _CUES)) or _is_repeated(message) or _is_latin_filler(message)):
-                key = mask(message)
-                if key not in self.verdicts:
+                if message not in self.verdicts:
                     if len(self.verdicts) >= self.remember:
                         self.verdicts.clear()
-                    self.verdicts[key] = classify(message)
-                if self.verdicts[key]:
-                    out.append((key, self.verdicts[key]))
+                    self.verdicts[message] = classify(message)
+                if self.verdicts[message]:
+                    out.append((mask(message), self.verdicts[message]))
         return out
 
     def kinds(self, content: str | None) -> list[str]:
