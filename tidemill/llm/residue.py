@@ -1,8 +1,9 @@
 """Problem 4: template residue, filler and error-page text within and instead of content.
 
-Messages are the lines and sentences of a content. Variable parts are masked, and a fixed-depth prefix tree
-(length, first tokens, similarity within the leaf) mines templates from them. A verdict depends on the text of
-its message alone, variable parts included, so results are the same however rows are spread over tasks.
+Messages are the lines and sentences of a content. A verdict depends on the text of its message alone, variable
+parts included, so results are the same however rows are spread over tasks. For the report of templates only,
+variable parts of the messages with a verdict are masked, and a fixed-depth prefix tree (length, first tokens,
+similarity within the leaf) mines templates from them; it gives no verdicts.
 """
 
 from __future__ import annotations
