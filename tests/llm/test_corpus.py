@@ -333,6 +333,25 @@ def test_subjects_of_sentences(spark):
     assert got == want
 
 
+def test_all_labels_and_all_terms_are_mined(spark):
+    names, other = ["banking", "law", "sport"], [chr(0x4E00 + i) for i in range(3000)]
+    docs, labels = [], []
+    for k in range(600):  # each term stands in five of 3,000 labelled documents
+        term = "".join(other[2 * k : 2 * k + 2])
+        docs += [(5 * k + j, f"{term}。") for j in range(5)]
+        labels += [(5 * k + j, names[k % 3]) for j in range(5)]
+    long = ["".join(chr(0x6000 + 8 * i + j) for j in range(4)) for i in range(6)]
+    for i in range(9):  # a sentence of seven terms, of which the shortest comes alone elsewhere
+        docs.append((4000 + i, "，".join([*long, "茶盏"]) + "。"))
+        labels.append((4000 + i, "law"))
+    docs.append((5000, "茶盏。"))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    entities = spark.createDataFrame([], "company_name string, short_name string, english_name string")
+    rules = subjects.fit_rules(frame, spark.createDataFrame(labels, "doc_id bigint, subject string"), entities)
+    got = {r.doc_id: r.subject for r in subjects.subjects_of(frame, rules).collect()}
+    assert got == dict(labels) | {5000: "law"}
+
+
 HARD = [("a", None, None, None), ("b", "", " ", ""), ("c", "标题", "摘要", "".join(f"第{i}段的内容，" for i in range(8000))), ("d", "标题", "摘要", "很短"), ("d", "标题", "摘要", "很短"), (None, "无号", None, "一条正常的内容，观望为主。")]
 
 

@@ -1,8 +1,9 @@
 """Problem 9: subject areas of documents by class-association rules.
 
-Terms are strings of the labelled documents that go with a subject. The sentences of the labelled documents,
-as sets of terms with the subjects of their document, are mined by parallel frequent-pattern growth; frequent
-sets that hold a subject give rules "terms -> subject", of which redundant ones are pruned. A sentence is about
+Terms are strings of the labelled documents that go with a subject. The sentences of all labelled documents,
+as sets of all their terms with the subjects of their document, are mined by parallel frequent-pattern growth: each
+term has the conditional base of the more frequent ones beside it, grown up to three terms. Frequent
+sets that go with a subject give rules "terms -> subject", of which redundant ones are pruned. A sentence is about
 the subject for which its matching rules have the strongest calibrated evidence; a document has the subjects
 of at least a quarter of its sentences that are about any.
 """
@@ -13,23 +14,26 @@ import math
 import re
 import unicodedata
 import uuid
+import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.runtime import ship, spread
+from tidemill.runtime import checkpointed, ship, spread
 
-#: Bounds of what is fitted: documents of the labels, and as many of those that the first rules are sure about.
-MAX_LABELLED, MAX_SELF = 1500, 1500
+#: Least share of the documents that hold a term, and of the sentences that hold a pattern.
+MIN_SHARE = 1e-5
 SHARE = 0.25
-_LENGTHS = (2, 3, 4, 6)
-#: Terms of a sentence that are mined together, its longest ones; frequent sets grow with two to this power.
-_MINED = 5
-_CLASS = "="
+_LENGTHS = (2, 3, 4, 5, 6)
+#: Shares of a document among up to twelve subjects are whole numbers of these, so sums don't depend on order.
+_UNITS = 27720
+#: Partial counts that a task holds before it hands them on.
+_HELD = 1_000_000
+_AND, _END = "\x1f", "\x1e"
 _SENTENCE = re.compile(r"[^。！？!?\n.]+(?:\.(?=\S)[^。！？!?\n.]*)*[。！？!?\n.]?")
 _HAN = re.compile("[㐀-鿿]+")
 _WORDS = re.compile(r"[a-z]{3,}")
@@ -76,35 +80,62 @@ def _grams(sentence: str) -> set[str]:
     return out
 
 
-def choose_terms(docs: list[tuple[list[str], list[str]]], least: int = 3, purity: float = 0.55) -> list[str]:
-    """The strings of labelled documents that go with a subject: (sentences, subjects) of each document."""
-    weights: dict[str, Counter] = defaultdict(Counter)
-    number: Counter = Counter()
+def _pack(sentences: list[str]) -> bytes:
+    return zlib.compress(_END.join(s.replace(_END, " ") for s in sentences).encode("utf-8", "surrogatepass"), 1)
+
+
+def _unpack(packed: bytes) -> list[str]:
+    return zlib.decompress(packed).decode("utf-8", "surrogatepass").split(_END)
+
+
+def _count_grams(names: list[str]):
+    """Partial sums (gram, weight of each subject) of the shares of the documents that hold a string."""
+    at = {s: i for i, s in enumerate(names)}
+
+    def run(batches):
+        held: dict[tuple, Counter] = defaultdict(Counter)
+
+        def out():
+            number: dict[str, int] = {}
+            for counter in held.values():
+                for g in counter:
+                    number.setdefault(g, len(number))
+            weights = np.zeros((len(names), len(number)), np.int64)
+            for mark, counter in held.items():
+                rows = np.fromiter(map(number.__getitem__, counter), np.int64, len(counter))
+                n = np.fromiter(counter.values(), np.int64, len(counter)) * (_UNITS // len(mark))
+                for s in mark:
+                    weights[at[s], rows] += n
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(number)), *map(pa.array, weights)], names=["gram", *(f"w{i}" for i in range(len(names)))])
+
+        for batch in batches:
+            for packed, subjects in zip(*(c.to_pylist() for c in batch.columns)):
+                if subjects:
+                    held[tuple(subjects)].update(set().union(*map(_grams, _unpack(packed))))
+                    if sum(map(len, held.values())) > _HELD:
+                        yield out()
+        if held:
+            yield out()
+
+    return run
+
+
+def choose_terms(docs: DataFrame, least: int = 3, purity: float = 0.55) -> list[str]:
+    """The strings of documents (sentences, subjects) that go with a subject, in order."""
     prior: Counter = Counter()
-    for sentences, subjects in docs:
-        if not subjects:
-            continue
-        grams = set().union(*map(_grams, sentences)) if sentences else set()
-        number.update(grams)
-        share = 1 / len(subjects)
-        for s in subjects:
-            prior[s] += share
-        mark = tuple(sorted(subjects))
-        for g in grams:
-            weights[g][mark] += 1
-    total = sum(prior.values()) or 1
-    terms = []
-    for g, n in number.items():
-        if n < least:
-            continue
-        by: Counter = Counter()
-        for mark, times in weights[g].items():
-            for s in mark:
-                by[s] += times / len(mark)
-        best, weight = max(by.items(), key=lambda x: (x[1], x[0]))
-        if weight / n >= purity and weight / n >= prior[best] / total + 0.3:
-            terms.append(g)
-    return terms
+    for r in docs.groupBy("subjects").agg(F.count("*").alias("n")).collect():
+        for s in r.subjects:
+            prior[s] += r.n * (_UNITS // len(r.subjects))
+    if not prior:
+        return []
+    names, total = sorted(prior), sum(prior.values())
+    weights = [F.col(f"w{i}") for i in range(len(names))]
+    grams = docs.mapInArrow(_count_grams(names), "gram string, " + ", ".join(f"w{i} long" for i in range(len(names)))).groupBy("gram").agg(*(F.sum(w).alias(f"w{i}") for i, w in enumerate(weights)))
+    best = F.array_max(F.array(*(F.struct(w.alias("w"), F.lit(s).alias("subject"), F.lit(prior[s] / total).alias("prior")) for w, s in zip(weights, names))))
+    found = grams.select("gram", sum(weights[1:], weights[0]).alias("all"), best.alias("best")).where(F.col("all") >= max(least * 0.999, MIN_SHARE * total / _UNITS) * _UNITS)
+    pure = F.col("best.w") / F.col("all")
+    return sorted(r.gram for r in found.where((pure >= purity) & (pure >= F.col("best.prior") + 0.3)).select("gram").collect())
 
 
 class Matcher:
@@ -133,45 +164,143 @@ class Matcher:
         return sorted(set(out))
 
 
-def mine_rules(spark: SparkSession, docs: list[tuple[list[str], list[str]]], matcher: Matcher, least: int = 3, confidence: float = 0.55, longest: int = 3) -> dict[frozenset, dict[str, float]]:
-    """{terms: {subject: evidence}}: pruned rules of the frequent patterns of all sentences of ``docs``.
+def _transactions(shared):
+    """(terms, mark, n): partial counts of sentences by the numbers of their terms and the subjects of their document."""
+
+    def run(batches):
+        matcher = Matcher(shared.value)
+        number = {t: i for i, t in enumerate(shared.value)}
+        held: Counter = Counter()
+
+        def out():
+            rows = [([*terms], mark, n) for (terms, mark), n in held.items()]
+            held.clear()
+            terms, marks, n = zip(*rows)
+            return pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.int32())), pa.array(marks), pa.array(n, pa.int64())], names=["terms", "mark", "n"])
+
+        for batch in batches:
+            for sentences, subjects in zip(*(c.to_pylist() for c in batch.columns)):
+                mark = _AND.join(subjects or ())
+                for s in _unpack(sentences):
+                    if terms := matcher.terms(s):
+                        held[tuple(number[t] for t in terms), mark] += 1
+                if len(held) > _HELD // 10:
+                    yield out()
+        if held:
+            yield out()
+
+    return run
+
+
+def _conditional(shared):
+    """(item, prefix, mark, n): each frequent term of a transaction with the more frequent ones beside it."""
+
+    def run(batches):
+        rank = shared.value[0]
+        for batch in batches:
+            rows = []
+            for terms, mark, n in zip(*(c.to_pylist() for c in batch.columns)):
+                ranks = sorted(rank[t] for t in terms if t in rank)
+                rows += [(ranks[j], ranks[:j], mark, n) for j in range(1, len(ranks))]
+            if rows:
+                item, prefix, marks, n = zip(*rows)
+                yield pa.RecordBatch.from_arrays([pa.array(item, pa.int32()), pa.array(prefix, pa.list_(pa.int32())), pa.array(marks), pa.array(n, pa.int64())], names=["item", "prefix", "mark", "n"])
+
+    return run
+
+
+def _by_subject(marks: dict[str, int]) -> Counter:
+    out: Counter = Counter()
+    for mark, n in marks.items():
+        for s in mark.split(_AND) if mark else ():
+            out[s] += n
+    return out
+
+
+def _sure(n: int, alone: int) -> float:
+    return (n + 0.5) / (alone + 1.5)
+
+
+def _grow(shared, confidence: float):
+    """(terms, subject, sure, general) of the patterns of two and three terms that a term's conditional base gives.
+
+    Of pairs those that are surer than each of their terms, of triples those that can be rules as far as this
+    base tells; ``general`` is the best of the smaller patterns seen here.
+    """
+
+    def run(keys, table):
+        item = keys[0].as_py()
+        _, single, threshold = shared.value
+        base = [(p, m, n) for p, m, n in zip(*(table.column(c).to_pylist() for c in ("prefix", "mark", "n")))]
+        pairs: dict[int, Counter] = defaultdict(Counter)
+        for prefix, mark, n in base:
+            for a in prefix:
+                pairs[a][mark] += n
+        pairs = {a: marks for a, marks in pairs.items() if sum(marks.values()) >= threshold}
+        rows, best = [], {}
+        for a, marks in pairs.items():
+            alone = sum(marks.values())
+            for s, n in _by_subject(marks).items():
+                if n >= threshold:
+                    general, sure = max(single[a].get(s, 0.0), single[item].get(s, 0.0)), _sure(n, alone)
+                    best[a, s] = max(sure, general)
+                    if sure > general:
+                        rows.append(([a, item], s, sure, general))
+        triples: dict[tuple[int, int], Counter] = defaultdict(Counter)
+        for prefix, mark, n in base:
+            for pair in combinations([a for a in prefix if a in pairs], 2):
+                triples[pair][mark] += n
+        for (a, b), marks in triples.items():
+            if (alone := sum(marks.values())) >= threshold:
+                for s, n in _by_subject(marks).items():
+                    general, sure = max(best.get((a, s), 0.0), best.get((b, s), 0.0)), _sure(n, alone)
+                    if n >= threshold and sure >= confidence and sure > general + 0.02:
+                        rows.append(([a, b, item], s, sure, general))
+        terms, subjects, sure, general = zip(*rows) if rows else ((), (), (), ())
+        return pa.table({"terms": pa.array(terms, pa.list_(pa.int32())), "subject": pa.array(subjects, pa.string()), "sure": pa.array(sure, pa.float64()), "general": pa.array(general, pa.float64())})
+
+    return run
+
+
+def mine_rules(docs: DataFrame, terms: list[str], least: int = 3, confidence: float = 0.55) -> dict[frozenset, dict[str, float]]:
+    """{terms: {subject: evidence}}: pruned rules of the frequent patterns, of up to three terms, of all sentences of ``docs``.
 
     Evidence is the log of how much the smoothed odds of the subject exceed its odds among all sentences.
     """
-    transactions, prior, seen = [], Counter(), 0
-    for sentences, subjects in docs:
-        for s in sentences:
-            terms = matcher.terms(s)
-            if terms:
-                seen += 1
-                prior.update(subjects)
-                transactions.append([*sorted(terms, key=lambda t: (-len(t), t))[:_MINED], *(_CLASS + x for x in subjects)])
-    if not transactions:
+    if not terms:
         return {}
-    frame = spark.createDataFrame([(t,) for t in transactions], "items array<string>").repartition(spark.sparkContext.defaultParallelism)
-    model = FPGrowth(itemsCol="items", minSupport=max(least, 1e-4 * seen) / len(transactions), minConfidence=1.0, numPartitions=spark.sparkContext.defaultParallelism).fit(frame)
-    small = F.size(F.filter("items", lambda i: ~i.startswith(_CLASS)))
-    classes = F.size("items") - small
-    # patterns of the bounded sample: few terms with at most one subject
-    patterns = model.freqItemsets.where((small >= 1) & (small <= longest) & (classes <= 1)).collect()
-    alone, joint = {}, defaultdict(dict)
-    for items, n in patterns:
-        terms = frozenset(i for i in items if not i.startswith(_CLASS))
-        of = [i[1:] for i in items if i.startswith(_CLASS)]
-        if of:
-            joint[terms][of[0]] = n
-        else:
-            alone[terms] = n
+    context = docs.sparkSession.sparkContext
+    rows = docs.mapInArrow(_transactions(context.broadcast(terms)), "terms array<int>, mark string, n long")
+    rows = checkpointed(rows.groupBy("terms", "mark").agg(F.sum("n").alias("n")))
+    marks = {r.mark: r.n for r in rows.groupBy("mark").agg(F.sum("n").alias("n")).collect()}
+    seen, prior = sum(marks.values()), _by_subject(marks)
+    threshold = max(least, math.ceil(MIN_SHARE * seen))
+    counts: dict[int, dict[str, int]] = defaultdict(dict)
+    for t, mark, n in rows.select(F.explode("terms").alias("t"), "mark", "n").groupBy("t", "mark").agg(F.sum("n").alias("n")).collect():
+        counts[t][mark] = n
+    often = {t: alone for t, of in counts.items() if (alone := sum(of.values())) >= threshold}
+    order = sorted(often, key=lambda t: (-often[t], t))
+    single = [{s: _sure(n, often[t]) for s, n in sorted(_by_subject(counts[t]).items()) if n >= threshold} for t in order]
+    shared = context.broadcast(({t: r for r, t in enumerate(order)}, single, threshold))
+    bases = rows.mapInArrow(_conditional(shared), "item int, prefix array<int>, mark string, n long").groupBy("item", "prefix", "mark").agg(F.sum("n").alias("n"))
+    grown = bases.groupBy("item").applyInArrow(_grow(shared, confidence), "terms array<int>, subject string, sure double, general double").collect()
+    pairs = {(*r.terms, r.subject): r.sure for r in grown if len(r.terms) == 2}
     rules: dict[frozenset, dict[str, float]] = {}
-    best: dict[frozenset, dict[str, float]] = {}
-    for terms in sorted(joint, key=lambda t: (len(t), sorted(t))):
-        for subject, n in joint[terms].items():
-            sure = (n + 0.5) / (alone[terms] + 1.5)
-            general = max((best.get(terms - {t}, {}).get(subject, 0.0) for t in terms), default=0.0) if len(terms) > 1 else 0.0
-            best.setdefault(terms, {})[subject] = max(sure, general)
-            if sure >= confidence and sure > general + 0.02:
-                base = min(0.9, prior[subject] / seen)
-                rules.setdefault(terms, {})[subject] = math.log(sure / (1 - sure)) - math.log(base / (1 - base))
+
+    def keep(ranks, subject: str, sure: float, general: float) -> None:
+        if sure >= confidence and sure > general + 0.02:
+            base = min(0.9, prior[subject] / seen)
+            rules.setdefault(frozenset(terms[order[r]] for r in ranks), {})[subject] = math.log(sure / (1 - sure)) - math.log(base / (1 - base))
+
+    for r, of in enumerate(single):
+        for subject, sure in of.items():
+            keep((r,), subject, sure, 0.0)
+    for r in sorted(grown, key=lambda r: (len(r.terms), r.terms, r.subject)):
+        general = r.general
+        if len(r.terms) == 3:  # the pair without the rarest term stands in another base
+            a, b = r.terms[:2]
+            general = max(general, pairs.get((a, b, r.subject), 0.0))
+        keep(r.terms, r.subject, r.sure, general)
     return rules
 
 
@@ -224,35 +353,61 @@ def company_names(entities: DataFrame) -> list[str]:
     return sorted(n for n in names if len(n) >= 3)
 
 
-def fit_rules(documents: DataFrame, labels: DataFrame, entities: DataFrame, max_labelled: int = MAX_LABELLED, max_self: int = MAX_SELF):
-    """Rules from labelled documents, as a broadcast.
+def _read(rows: DataFrame, names: list[str]) -> DataFrame:
+    """(sentences, subjects) of (text, subjects)."""
+
+    def run(batches):
+        reader = Reader(names)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([_pack(reader.sentences(t)) for t in batch.column(0).to_pylist()], pa.binary()), batch.column(1)], names=["sentences", "subjects"])
+
+    return rows.mapInArrow(run, "sentences binary, subjects array<string>")
+
+
+def _mark(rows: DataFrame, shared) -> DataFrame:
+    """(sentences, subjects) of the labelled documents and of all others that the rules are sure about."""
+
+    def run(batches):
+        rules = rules_of(shared)
+        for batch in batches:
+            out = []
+            for text, subjects in zip(*(c.to_pylist() for c in batch.columns)):
+                sentences = rules.reader.sentences(text)
+                if subjects is None:
+                    counts = Counter(s for s in map(rules.subject, sentences) if s)
+                    total = sum(counts.values())
+                    subjects = sorted(s for s, n in counts.items() if n >= 0.3 * total)
+                    if total < 3 or not 1 <= len(subjects) <= 2 or sum(counts[s] for s in subjects) < 0.9 * total:
+                        continue
+                out.append((_pack(sentences), subjects))
+            if out:
+                packed, marks = zip(*out)
+                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), pa.array(marks, pa.list_(pa.string()))], names=["sentences", "subjects"])
+
+    return rows.mapInArrow(run, "sentences binary, subjects array<string>")
+
+
+def _share(spark: SparkSession, names: list[str], rules: dict[frozenset, dict[str, float]]):
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, names, [(sorted(t), e) for t, e in rules.items()]))
+
+
+def fit_rules(documents: DataFrame, labels: DataFrame, entities: DataFrame):
+    """Rules from all labelled documents, as a broadcast.
 
-    Documents are taken by the hash of their id, up to the bounds. The rules of the labels mark further
-    documents; where nearly all of their sentences agree on at most two subjects, they are mined as well, so
-    that terms no labelled document holds get rules too.
+    The rules of the labels mark the other documents, all of them; where nearly all of their sentences agree on
+    at most two subjects, they are mined as well, so that terms no labelled document holds get rules too.
     """
     spark = documents.sparkSession
     ship(spark)
-    reader = Reader(names := company_names(entities))
+    names = company_names(entities)
     marks = labels.where("doc_id is not null and subject is not null").distinct().groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("subjects"))
-    texts = documents.where(F.length(F.trim("text")) > 0).select("doc_id", "text")
-    labelled = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).join(texts, "doc_id").select("doc_id", "text", "subjects").collect()
-    docs = [(reader.sentences(t), list(s)) for _, t, s in sorted(labelled)]
-    matcher = Matcher(choose_terms(docs))
-    rules = mine_rules(spark, docs, matcher)
-    if rules and max_self:
-        first = Rules(names, rules)
-        own = []
-        for _, text in sorted(map(tuple, texts.orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(max_self).collect())):
-            counts = first.counts(text)
-            total = sum(counts.values())
-            sure = [s for s, n in counts.items() if n >= 0.3 * total]
-            if total >= 3 and 1 <= len(sure) <= 2 and sum(counts[s] for s in sure) >= 0.9 * total:
-                own.append((first.reader.sentences(text), sorted(sure)))
-        docs += own
-        rules = mine_rules(spark, docs, Matcher(choose_terms(docs, least=4, purity=0.6)))
-    packed = [(sorted(t), e) for t, e in rules.items()]
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, names, packed))
+    texts = spread(documents.where(F.length(F.trim("text")) > 0).select("doc_id", "text"), "doc_id")
+    docs = checkpointed(_read(texts.join(marks, "doc_id").select("text", "subjects"), names))
+    rules = mine_rules(docs, choose_terms(docs))
+    if rules:
+        docs = checkpointed(_mark(texts.join(marks, "doc_id", "left").select("text", "subjects"), _share(spark, names, rules)))
+        rules = mine_rules(docs, choose_terms(docs, least=4, purity=0.6))
+    return _share(spark, names, rules)
 
 
 _RULES: dict[str, Rules] = {}
