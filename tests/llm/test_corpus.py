@@ -54,6 +54,30 @@ def test_lost_text_is_found(decoder, text):
     assert decoder.decode(text)[1] >= 1
 
 
+def test_viterbi_equals_all_texts():
+    rng = random.Random(4)
+    chars = [c for i in range(94) if (c := bytes([0xB0, 0xA1 + i]).decode("gb18030", "ignore"))]
+    singles = {c: 1000 - 5 * i for i, c in enumerate(chars)} | {"的": 3000}
+    pairs = {chars[-1] + "的": singles[chars[-1]], "的" + chars[-1]: 500}  # rare, but the context tells
+    pairs |= {a + b: rng.randint(1, 90) for a in rng.sample(chars, 30) for b in rng.sample(chars, 30)}
+    freq = mojibake.Frequencies(singles, pairs)
+    code = list("的".encode("gb18030"))
+    for lattice in ([0xB0, None, *code], [*code, 0xB0, None, *code], [0xB0, None, 0xB0, None, *code]):
+        holes = lattice.count(None)
+        texts = [""]
+        for i in range(0, len(lattice), 2):
+            texts = [t + c for t in texts for c in (chars if lattice[i + 1] is None else ["的"])]
+        best = max(texts, key=freq.score)
+        text, score, lost = mojibake.viterbi(lattice, "gb18030", freq)
+        assert text == best and lost == 0 and score == pytest.approx(freq.score(best) - 0.5 * holes)
+        assert mojibake.viterbi(lattice, "gb18030", freq, score - 0.01)[0] == best and mojibake.viterbi(lattice, "gb18030", freq, score + 1)[1] <= score + 1
+
+
+def test_all_channels_are_tried(decoder):
+    text = NEWS[0].encode().decode("koi8_r")[:90]
+    assert len({writer for _, writer in decoder._candidates(text)}) == 3 and len(decoder._candidates("".join(NEWS))) > 2
+
+
 def test_viterbi_fills_a_wildcard(decoder):
     data = list("差距正在逐步缩小".encode())
     data[4] = None

@@ -32,6 +32,7 @@ WRITERS = ("utf-8", "gb18030", "big5")
 #: has at most 1 / MIN_SHARE pairs, and fewer single characters than Unicode has, however large the corpus is.
 MIN_SHARE = 1e-6
 _FLOOR = -16.0
+#: States that the first pass keeps; it only gives a bound below which the second, exact pass drops states.
 _BEAM = 6
 
 
@@ -106,6 +107,11 @@ class Frequencies:
         self.one = {c: math.log(n / total) for c, n in singles.items()}
         self.common = {c for c, n in singles.items() if n * 200_000 >= total}
         self.two = {p: math.log(0.8 * n / singles[p[0]]) for p, n in pairs.items() if singles.get(p[0])}
+        #: The most that a character can add to a log probability, whatever stands before it.
+        self.most = {c: p - 1.6 for c, p in self.one.items()}
+        for pair, p in self.two.items():
+            if p > self.most.get(pair[1], -math.inf):
+                self.most[pair[1]] = p
         self._fits: dict[str, dict] = {}
         self.classes = _classes().copy()
         self.classes[[ord(c) for c in self.common]] |= _COMMON_BIT
@@ -168,22 +174,12 @@ def to_bytes(text: str, reader: str) -> list[int | None]:
     return [b for c in text for b in _char_bytes(c, reader)]
 
 
-def viterbi(lattice: list[int | None], writer: str, freq: Frequencies) -> tuple[str, float, int]:
-    """The most likely text that ``writer`` can have written as this lattice: (text, log probability, lost).
-
-    A state is (position, last character). Bytes that fit no character cost a penalty and stay as U+FFFD.
-    """
-    fits, n, one, two = freq.fits(writer), len(lattice), freq.one, freq.two
+def _options(lattice: list[int | None], writer: str, freq: Frequencies) -> list[list[tuple[int, str, float]]]:
+    """For every position the (width, character, cost) of all characters that fit there."""
+    fits, n = freq.fits(writer), len(lattice)
     widths = (2,) if writer in ("gb18030", "big5") else (2, 3)
-    states: list[dict[str, tuple[float, int, tuple | None]]] = [{} for _ in range(n + 1)]
-    states[0][""] = (0.0, 0, None)
-    for i in range(n):
-        here = states[i]
-        if not here:
-            continue
-        if len(here) > _BEAM:
-            here = dict(sorted(here.items(), key=lambda x: -x[1][0])[:_BEAM])
-        byte = lattice[i]
+    out = []
+    for i, byte in enumerate(lattice):
         options: list[tuple[int, str, float]] = []
         sure = False
         if byte is not None and byte < 0x80:
@@ -191,18 +187,55 @@ def viterbi(lattice: list[int | None], writer: str, freq: Frequencies) -> tuple[
             sure = True
         else:
             for width in widths:
-                key = tuple(lattice[i : i + width])
-                if len(key) < width:
+                if i + width > n:
                     break
+                key = tuple(lattice[i : i + width])
                 holes = key.count(None)
-                for char, size in fits.get(key, ())[:6]:
+                for char, size in fits.get(key, ()):
                     options.append((width, char, -0.5 * holes - 5.0 * (size - width)))
                     sure = sure or not holes and size == width
         if not sure:
             options.append((1, "�", -9.0))
-        for width, char, cost in options:
-            target, best = states[i + width], None
+        out.append(options)
+    return out
+
+
+def viterbi(lattice: list[int | None], writer: str, freq: Frequencies, least: float = -math.inf) -> tuple[str, float, int]:
+    """The most likely text that ``writer`` can have written as this lattice: (text, log probability, lost).
+
+    A state is (position, last character). Bytes that fit no character cost a penalty and stay as U+FFFD. All
+    characters that fit enter. A state is dropped only if the most that the rest can add, see ``bounds``, leaves
+    it below a path that is known or below ``least``; a result that isn't above ``least`` need not be the likeliest.
+    """
+    n, options = len(lattice), _options(lattice, writer, freq)
+    bounds = [-math.inf] * n + [0.0]
+    for i in range(n - 1, -1, -1):
+        bounds[i] = max((cost + (0.0 if char == "�" else freq.most.get(char, _FLOOR - 1.6)) + bounds[i + width] for width, char, cost in options[i]), default=-math.inf)
+    if bounds[0] <= least:
+        return "", -math.inf, n
+    known = _search(options, freq, bounds, -math.inf, _BEAM)
+    exact = _search(options, freq, bounds, max(least, known[1]) - 1e-6, None)
+    return exact if exact[1] >= known[1] else known
+
+
+def _search(options: list, freq: Frequencies, bounds: list[float], least: float, beam: int | None) -> tuple[str, float, int]:
+    n, one, two = len(options), freq.one, freq.two
+    states: list[dict[str, tuple[float, int, tuple | None]]] = [{} for _ in range(n + 1)]
+    states[0][""] = (0.0, 0, None)
+    for i in range(n):
+        here = states[i]
+        if beam is None:
+            here = {c: state for c, state in here.items() if state[0] + bounds[i] >= least}
+        elif len(here) > beam:
+            here = dict(sorted(here.items(), key=lambda x: -x[1][0])[:beam])
+        if not here:
+            continue
+        top = max(state[0] for state in here.values())
+        for width, char, cost in options[i]:
             alone = 0.0 if char == "�" else one.get(char, _FLOOR) - 1.6
+            if beam is None and top + cost + (alone if char == "�" else freq.most.get(char, alone)) + bounds[i + width] < least:
+                continue
+            target, best = states[i + width], None
             for before, (score, lost, _) in here.items():
                 score += cost + (alone if char == "�" else two.get(before + char, alone))
                 if best is None or score > best[0]:
@@ -336,7 +369,7 @@ class Decoder:
             if size := sum(len(m.group()) for m in _shape(reader, writer).finditer(line)):
                 covered.append((size, reader, writer))
         ranked = []
-        for _, reader, writer in sorted(covered, reverse=True)[:4]:
+        for _, reader, writer in sorted(covered, reverse=True):
             total = sum(max(0.0, g[0]) for m in _shape(reader, writer).finditer(line) if (g := self._gain(m.group(), reader, writer)) and g[0] >= 3)
             if total > 0:
                 ranked.append((total, reader, writer))
@@ -349,7 +382,7 @@ class Decoder:
             found += 1
             return self._again(got[1])
 
-        for _, reader, writer in sorted(ranked, reverse=True)[:2]:
+        for _, reader, writer in sorted(ranked, reverse=True):
             line = _shape(reader, writer).sub(fix, line)
         if not line.isascii() and _UTF8_RUN.search(line.encode("gb18030", "replace")):
             line, n = self._multi(line, "gb18030")
@@ -390,15 +423,16 @@ class Decoder:
         return (_IN_WORD.sub(fix, line), found) if _IN_WORD.search(line) else (line, 0)
 
     def _lattice(self, line: str) -> tuple[str, int, int]:
-        """Sentences with losses or unlikely pairs: the likeliest readers and writers, the likeliest original wins."""
+        """Sentences with losses or unlikely pairs: of all readers and writers, the likeliest original wins."""
         out, at, stretches, lost = [], 0, 0, 0
         for begin, end in self._damaged(line):
             stretch = line[begin:end]
             best: tuple[float, str, int] = (self.freq.score(stretch), stretch, 0)
-            for reader, writer in self._candidates(stretch):
-                text, score, gone = viterbi(to_bytes(stretch, reader), writer, self.freq)
-                if score > best[0] + 6:
-                    best = (score, text, gone)
+            least = best[0] + 6
+            for lattice, writer in self._candidates(stretch):
+                text, score, gone = viterbi(lattice, writer, self.freq, least)
+                if score > least:
+                    least, best = score, (score, text, gone)
             if best[1] != stretch:
                 stretches += 1
                 lost += best[2]
@@ -420,22 +454,23 @@ class Decoder:
                     spans.append((m.start(), m.end()))
         return spans
 
-    def _candidates(self, stretch: str) -> list[tuple[str, str]]:
-        """The channels whose reader can have written most of the stretch, the likeliest few."""
+    def _candidates(self, stretch: str) -> list[tuple[list[int | None], str]]:
+        """The lattices and writers of all channels whose reader can have written most of the stretch, each once."""
         high = [c for c in stretch if c > "\x7f" and c != "�"]
         if len(high) < 3 or stretch.count("�") > 2 * len(high):
             return []  # nothing left to decode
-        ranked = []
+        ranked = {}
         for reader in (*SINGLE_BYTE_READERS, *MULTI_BYTE_READERS):
             if sum(_writes(reader, c) for c in high) < 0.8 * len(high):
                 continue
-            data = bytes(b if b is not None else 0xFF for b in to_bytes(stretch, reader))
+            lattice = to_bytes(stretch, reader)
+            data = bytes(b if b is not None else 0xFF for b in lattice)
             for writer in WRITERS:
                 if writer != reader:
                     good = sum(c in self.freq.common for c in data.decode(writer, "ignore") if c > "\x7f")
-                    ranked.append((good / (len(data) + 1), reader, writer))
-        ranked.sort(reverse=True)
-        return [(r, w) for score, r, w in ranked[:2] if score > 0.03]
+                    ranked.setdefault((tuple(lattice), writer), (good / (len(data) + 1), reader))
+        # the likeliest come first, as a good one lets the bound drop others early
+        return [(list(lattice), writer) for (lattice, writer), _ in sorted(ranked.items(), key=lambda x: (x[1], x[0][1]), reverse=True)]
 
 
 @lru_cache(maxsize=100_000)
