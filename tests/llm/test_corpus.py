@@ -110,6 +110,18 @@ def test_cut_values_against_definition(spark):
     assert {r.field: r.cut for r in report} == {"content": 1, "summary": 1}
 
 
+def test_copies_count_once_in_endings(spark):
+    rng = random.Random(8)
+    noise = lambda n: "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(n))
+    clause = "客户验收节点顺延"
+    goes_on = [(f"g{i}", None, f"{noise(12)}{clause}到明年，{noise(9)}。") for i in range(40)]
+    ends = f"{noise(12)}{clause}。{noise(9)}。"  # one post, delivered again and again, also as its own summary
+    copies = [("e", ends, ends)] * 60
+    cut = ("cut", None, f"{noise(12)}{clause}")
+    frame = spark.createDataFrame([*goes_on, *copies, cut], "id string, summary string, content string")
+    assert ("cut", "content") in {(r.id, r.field) for r in truncation.truncated(frame).collect()}
+
+
 @pytest.fixture(scope="module")
 def rewriter():
     return lookalikes.Rewriter({"ETF": 50, "PE": 40, "a": 9})

@@ -20,7 +20,7 @@ from tidemill.llm.residue import inspector
 from tidemill.runtime import checkpointed, ship
 
 #: Lengths of the endings, the longest with enough support decides.
-ENDINGS = (6, 3)
+ENDINGS = (8, 5, 3)
 MIN_SUPPORT = 3  # how often an ending must occur inside other values
 MAX_FINAL = 0.04  # a sentence seldom ends there: the value was cut
 
@@ -245,8 +245,10 @@ def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), k
     # A value is known by two hashes, 96 bits, wherever its text isn't needed.
     keys = (F.xxhash64("value").alias("one"), F.hash("value").alias("two"))
     parts = max(12, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # The distinct values by their keys: one row of each, wherever its copies stand.
+    distinct = values.select("value").distinct()
     # Range partitions of the sorted values hold any number of values that start alike; copies are gone by then.
-    ordered = values.select("value").distinct().repartitionByRange(parts, "value").sortWithinPartitions("value").select("value", *keys)
+    ordered = distinct.repartitionByRange(parts, "value").sortWithinPartitions("value").select("value", *keys)
     inspected = checkpointed(ordered.mapInArrow(_inspect, _INSPECTED))
     seams = inspected.where("seam is not null").select("part", "kind", "one", "two", "seam").collect()  # a few for each partition
     settled = [(*r[:4], *_endings([r[4]])[0].values()) for r in _settle(list(map(tuple, seams)))]
@@ -260,7 +262,7 @@ def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), k
         .select("one", "two", "_e.k", "_e.ending")
         .where("ending is not null")
     )
-    known = df.select(*fields).mapInArrow(_count_endings, "ending long, n long, n_final long").groupBy("ending").agg(F.sum("n").alias("n"), F.sum("n_final").alias("n_final"))
+    known = distinct.mapInArrow(_count_endings, "ending long, n long, n_final long").groupBy("ending").agg(F.sum("n").alias("n"), F.sum("n_final").alias("n_final"))
     answers = asked.join(known.where(F.col("n") >= MIN_SUPPORT), "ending").groupBy("one", "two").agg(F.max_by(F.col("n_final") / F.col("n"), "k").alias("final_share"))
     decided = inspected.join(answers, ["one", "two"], "left").withColumn(
         "cut",
