@@ -122,6 +122,15 @@ def test_copies_count_once_in_endings(spark):
     assert ("cut", "content") in {(r.id, r.field) for r in truncation.truncated(frame).collect()}
 
 
+def test_longer_copies_behind_the_first_value_of_a_partition(spark):
+    rng = random.Random(9)
+    noise = lambda n: "".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(n))
+    core = "行业协会称样本口径调整"
+    rows = [(f"f{i}", None, f"{core}。{noise(12)}。") for i in range(600)]
+    frame = spark.createDataFrame([("cut", None, core), *rows, ("long", None, f"{core}之后仍有分歧。")], "id string, summary string, content string")
+    assert ("cut", "content") in {(r.id, r.field) for r in truncation.truncated(frame).collect()}
+
+
 @pytest.fixture(scope="module")
 def rewriter():
     return lookalikes.Rewriter({"ETF": 50, "PE": 40, "a": 9})

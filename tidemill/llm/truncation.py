@@ -189,6 +189,12 @@ def _inspect(batches):
         yield _inspected(rows, here)
 
 
+def _reads_on(value: str, core: str) -> bool:
+    """Whether a value that starts with ``core`` goes on inside its sentence."""
+    after = value[len(core) : len(core) + 1]
+    return after.isalnum() or after != "" and after in "，,、"
+
+
 def _meet(value: str, waiting: list[tuple[_Waiting, tuple]], rows: list[tuple]) -> list[tuple[_Waiting, tuple]]:
     """What still waits after ``value`` came; what is settled goes to ``rows``."""
     still = []
@@ -196,8 +202,7 @@ def _meet(value: str, waiting: list[tuple[_Waiting, tuple]], rows: list[tuple])
         if not value.startswith(new.core):
             rows.append(new.row(keys, None))
             continue
-        after = value[len(new.core) : len(new.core) + 1]
-        if after.isalnum() or after and after in "，,、":
+        if _reads_on(value, new.core):
             rows.append(new.row(keys, True))
         else:
             still.append((new, keys))
@@ -218,18 +223,32 @@ def _inspected(rows: list[tuple], part: int) -> pa.RecordBatch:
     )
 
 
-def _settle(seams: list[tuple]) -> list[tuple]:
-    """The values that wait at the end of a partition, settled by the first values of the next ones.
+def _settle(seams: list[tuple]) -> tuple[list[tuple], list[tuple[_Waiting, tuple]]]:
+    """The values that wait at the end of a partition: rows of those that the first values of the next ones settle,
+    and those with which a next partition begins, so that its other values must be asked as well.
 
     ``seams``: (part, kind, one, two, text), two or three for each partition.
     """
-    waiting, rows = [], []
+    waiting, met, rows = [], [], []
     for part, kind, one, two, text in sorted(seams, key=lambda r: (r[0], r[1] != "first")):
         if kind == "first":
-            waiting = _meet(text, waiting, rows)
+            met += _meet(text, waiting, rows)  # the values behind the first one are asked later
+            waiting = []
         else:
             waiting.append((_Waiting(text), (one, two)))
-    return rows + [new.row(keys, None) for new, keys in waiting]
+    return rows + [new.row(keys, None) for new, keys in waiting], met
+
+
+def _ask(waiting: list[tuple[str, str]]):
+    """(at): the positions of those (value, core) after which a value comes that goes on inside the sentence."""
+
+    def run(batches):
+        for batch in batches:
+            at = {i for value in batch.column(0).to_pylist() for i, (own, core) in enumerate(waiting) if value > own and value.startswith(core) and _reads_on(value, core)}
+            if at:
+                yield pa.RecordBatch.from_arrays([pa.array(sorted(at), pa.int32())], names=["at"])
+
+    return run
 
 
 def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), key: str = "id") -> DataFrame:
@@ -251,7 +270,11 @@ def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), k
     ordered = distinct.repartitionByRange(parts, "value").sortWithinPartitions("value").select("value", *keys)
     inspected = checkpointed(ordered.mapInArrow(_inspect, _INSPECTED))
     seams = inspected.where("seam is not null").select("part", "kind", "one", "two", "seam").collect()  # a few for each partition
-    settled = [(*r[:4], *_endings([r[4]])[0].values()) for r in _settle(list(map(tuple, seams)))]
+    rows, waiting = _settle(list(map(tuple, seams)))
+    if waiting:
+        longer = {r.at for r in distinct.mapInArrow(_ask([(new.value, new.core) for new, _ in waiting]), "at int").distinct().collect()}
+        rows += [new.row(keys, True if i in longer else None) for i, (new, keys) in enumerate(waiting)]
+    settled = [(*r[:4], *_endings([r[4]])[0].values()) for r in rows]
     columns = ["one", "two", "kind", "sure", *(f"e{k}" for k in ENDINGS)]
     inspected = inspected.where("seam is null").select(*columns)
     if settled:
