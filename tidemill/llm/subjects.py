@@ -27,12 +27,17 @@ from tidemill.runtime import checkpointed, ship, spread
 
 #: Least share of the documents that hold a term, and of the sentences that hold a pattern.
 MIN_SHARE = 1e-5
+#: Most labelled documents that rules are fitted on; every document is scored.
+MAX_LABELLED = 200_000
 SHARE = 0.25
 _LENGTHS = (2, 3, 4, 5, 6)
 #: Shares of a document among up to twelve subjects are whole numbers of these, so sums don't depend on order.
 _UNITS = 27720
-#: Partial counts that a task holds before it hands them on.
+#: Characters that a task counts at once.
 _HELD = 1_000_000
+#: Transactions that a task holds before it hands their counts on.
+_KEPT = 100_000
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _AND, _END = "\x1f", "\x1e"
 _SENTENCE = re.compile(r"[^。！？!?\n.]+(?:\.(?=\S)[^。！？!?\n.]*)*[。！？!?\n.]?")
 _HAN = re.compile("[㐀-鿿]+")
@@ -54,9 +59,10 @@ class Reader:
             self.names.make_automaton()
         self.any = bool(names)
 
-    def sentences(self, text: str | None) -> list[str]:
+    def spelled(self, text: str | None) -> str:
+        """A text in one spelling, lower case, a mark for each name."""
         if not text or not text.strip():
-            return []
+            return ""
         if not unicodedata.is_normalized("NFKC", text):
             text = unicodedata.normalize("NFKC", text)
         text = _INVISIBLE.sub("", text).lower()
@@ -66,18 +72,16 @@ class Reader:
                 out += [text[at : end - size + 1], _NAME]
                 at = end + 1
             text = "".join([*out, text[at:]]) if out else text
-        return [s for s in _SENTENCE.findall(text) if s.strip()]
+        return text
+
+    def sentences(self, text: str | None) -> list[str]:
+        return [s for s in _SENTENCE.findall(self.spelled(text)) if s.strip()]
 
 
-def _grams(sentence: str) -> set[str]:
-    out = set()
-    for run in _HAN.findall(sentence):
-        for n in _LENGTHS:
-            out.update(run[i : i + n] for i in range(len(run) - n + 1))
+def _words(sentence: str) -> list[str]:
+    """Latin words of a sentence, and pairs of them."""
     words = _WORDS.findall(sentence)
-    out.update(words)
-    out.update(map(" ".join, zip(words, words[1:])))
-    return out
+    return words + list(map(" ".join, zip(words, words[1:])))
 
 
 def _pack(sentences: list[str]) -> bytes:
@@ -88,35 +92,67 @@ def _unpack(packed: bytes) -> list[str]:
     return zlib.decompress(packed).decode("utf-8", "surrogatepass").split(_END)
 
 
+def _han_strings(texts: list[str]):
+    """(strings, string of each pair, text of each pair): the distinct strings of Han characters in each text.
+
+    All texts are hashed at once, length by length; a stable sort by hash leaves the texts of a string in order.
+    """
+    text = _END.join(texts)
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    of = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[: len(codes)]
+    han = (codes >= 0x3400) & (codes <= 0x9FFF)
+    strings, which, where = [], [], []
+    h, whole = codes.astype(np.uint64), han
+    for n in range(1, max(_LENGTHS) + 1):
+        if n > 1:
+            h = (h[:-1] * _MIX) ^ codes[n - 1 :]
+            h ^= h >> np.uint64(31)
+            whole = whole[:-1] & han[n - 1 :]
+        if n in _LENGTHS:
+            at = np.flatnonzero(whole)
+            at = at[np.argsort(h[at], kind="stable")]
+            if not len(at):
+                continue
+            first = np.concatenate([[True], h[at[1:]] != h[at[:-1]]])
+            pair = first | np.concatenate([[True], of[at[1:]] != of[at[:-1]]])
+            which.append((np.cumsum(first) - 1)[pair] + len(strings))
+            where.append(of[at[pair]])
+            strings += [text[i : i + n] for i in at[first].tolist()]
+    none = np.zeros(0, np.int64)
+    return strings, np.concatenate(which) if which else none, np.concatenate(where) if where else none
+
+
 def _count_grams(names: list[str]):
     """Partial sums (gram, weight of each subject) of the shares of the documents that hold a string."""
     at = {s: i for i, s in enumerate(names)}
 
-    def run(batches):
-        held: dict[tuple, Counter] = defaultdict(Counter)
-
-        def out():
-            number: dict[str, int] = {}
-            for counter in held.values():
-                for g in counter:
-                    number.setdefault(g, len(number))
-            weights = np.zeros((len(names), len(number)), np.int64)
-            for mark, counter in held.items():
-                rows = np.fromiter(map(number.__getitem__, counter), np.int64, len(counter))
-                n = np.fromiter(counter.values(), np.int64, len(counter)) * (_UNITS // len(mark))
-                for s in mark:
-                    weights[at[s], rows] += n
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(number)), *map(pa.array, weights)], names=["gram", *(f"w{i}" for i in range(len(names)))])
+    def counted(texts: list[str], subjects: list[list[str]]) -> pa.RecordBatch:
+        grams, which, where = _han_strings(texts)
+        number: dict[str, int] = {}
+        more = [(number.setdefault(g, len(number)), i) for i, t in enumerate(texts) for g in set().union(*map(_words, t.split(_END)))]
+        if more:
+            w, i = zip(*more)
+            which, where = np.concatenate([which, np.array(w) + len(grams)]), np.concatenate([where, np.array(i)])
+        grams += number
+        weights = np.zeros((len(names), len(grams)), np.int64)
+        for s, i in at.items():
+            units = np.array([_UNITS // len(own) if s in own else 0 for own in subjects], np.int64)
+            weights[i] = np.bincount(which, units[where], len(grams)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), *map(pa.array, weights)], names=["gram", *(f"w{i}" for i in range(len(names)))])
 
+    def run(batches):
+        texts, marks, held = [], [], 0
         for batch in batches:
             for packed, subjects in zip(*(c.to_pylist() for c in batch.columns)):
                 if subjects:
-                    held[tuple(subjects)].update(set().union(*map(_grams, _unpack(packed))))
-                    if sum(map(len, held.values())) > _HELD:
-                        yield out()
-        if held:
-            yield out()
+                    texts.append(_END.join(_unpack(packed)))
+                    marks.append(subjects)
+                    held += len(texts[-1])
+                    if held > _HELD:
+                        yield counted(texts, marks)
+                        texts, marks, held = [], [], 0
+        if texts:
+            yield counted(texts, marks)
 
     return run
 
@@ -146,22 +182,22 @@ class Matcher:
 
         self.automaton = ahocorasick.Automaton()
         for t in terms:
-            self.automaton.add_word(t, t)
+            self.automaton.add_word(t, (t, len(t) if t.isascii() else 0))
         self.any = bool(terms)
         if terms:
             self.automaton.make_automaton()
 
-    def terms(self, sentence: str) -> list[str]:
+    def found(self, text: str):
+        """(end, term) of the terms of a text, in order; Latin ones are whole words."""
         if not self.any:
-            return []
-        out = []
-        for end, t in self.automaton.iter_long(sentence):
-            if t.isascii():
-                before, after = sentence[end - len(t) : end - len(t) + 1] if end >= len(t) else "", sentence[end + 1 : end + 2]
-                if "a" <= before <= "z" or "a" <= after <= "z":
-                    continue
-            out.append(t)
-        return sorted(set(out))
+            return
+        for end, (t, latin) in self.automaton.iter_long(text):
+            if latin and ("a" <= text[end + 1 : end + 2] <= "z" or end >= latin and "a" <= text[end - latin] <= "z"):
+                continue
+            yield end, t
+
+    def terms(self, sentence: str) -> list[str]:
+        return sorted({t for _, t in self.found(sentence)})
 
 
 def _transactions(shared):
@@ -184,7 +220,7 @@ def _transactions(shared):
                 for s in _unpack(sentences):
                     if terms := matcher.terms(s):
                         held[tuple(number[t] for t in terms), mark] += 1
-                if len(held) > _HELD // 10:
+                if len(held) > _KEPT:
                     yield out()
         if held:
             yield out()
@@ -224,20 +260,19 @@ def _sure(n: int, alone: int) -> float:
 def _grow(shared, confidence: float):
     """(terms, subject, sure, general) of the patterns of two and three terms that a term's conditional base gives.
 
+    Rows (item, prefix, mark, n) come in order of their items, so a task holds the base of one item at a time.
     Of pairs those that are surer than each of their terms, of triples those that can be rules as far as this
     base tells; ``general`` is the best of the smaller patterns seen here.
     """
 
-    def run(keys, table):
-        item = keys[0].as_py()
+    def grown(item: int, base: list[tuple], rows: list[tuple]) -> None:
         _, single, threshold = shared.value
-        base = [(p, m, n) for p, m, n in zip(*(table.column(c).to_pylist() for c in ("prefix", "mark", "n")))]
         pairs: dict[int, Counter] = defaultdict(Counter)
         for prefix, mark, n in base:
             for a in prefix:
                 pairs[a][mark] += n
         pairs = {a: marks for a, marks in pairs.items() if sum(marks.values()) >= threshold}
-        rows, best = [], {}
+        best = {}
         for a, marks in pairs.items():
             alone = sum(marks.values())
             for s, n in _by_subject(marks).items():
@@ -256,8 +291,27 @@ def _grow(shared, confidence: float):
                     general, sure = max(best.get((a, s), 0.0), best.get((b, s), 0.0)), _sure(n, alone)
                     if n >= threshold and sure >= confidence and sure > general + 0.02:
                         rows.append(([a, b, item], s, sure, general))
-        terms, subjects, sure, general = zip(*rows) if rows else ((), (), (), ())
-        return pa.table({"terms": pa.array(terms, pa.list_(pa.int32())), "subject": pa.array(subjects, pa.string()), "sure": pa.array(sure, pa.float64()), "general": pa.array(general, pa.float64())})
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        terms, subjects, sure, general = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.int32())), pa.array(subjects), pa.array(sure), pa.array(general)], names=["terms", "subject", "sure", "general"])
+
+    def run(batches):
+        item, base, rows = None, [], []
+        for batch in batches:
+            for new, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if new != item:
+                    if base:
+                        grown(item, base, rows)
+                    item, base = new, []
+                base.append(row)
+            if len(rows) > _KEPT:
+                yield out(rows)
+                rows = []
+        if base:
+            grown(item, base, rows)
+        if rows:
+            yield out(rows)
 
     return run
 
@@ -282,8 +336,9 @@ def mine_rules(docs: DataFrame, terms: list[str], least: int = 3, confidence: fl
     order = sorted(often, key=lambda t: (-often[t], t))
     single = [{s: _sure(n, often[t]) for s, n in sorted(_by_subject(counts[t]).items()) if n >= threshold} for t in order]
     shared = context.broadcast(({t: r for r, t in enumerate(order)}, single, threshold))
-    bases = rows.mapInArrow(_conditional(shared), "item int, prefix array<int>, mark string, n long").groupBy("item", "prefix", "mark").agg(F.sum("n").alias("n"))
-    grown = bases.groupBy("item").applyInArrow(_grow(shared, confidence), "terms array<int>, subject string, sure double, general double").collect()
+    bases = rows.mapInArrow(_conditional(shared), "item int, prefix array<int>, mark string, n long").repartition("item")
+    bases = bases.groupBy("item", "prefix", "mark").agg(F.sum("n").alias("n")).sortWithinPartitions("item")
+    grown = bases.mapInArrow(_grow(shared, confidence), "terms array<int>, subject string, sure double, general double").collect()
     pairs = {(*r.terms, r.subject): r.sure for r in grown if len(r.terms) == 2}
     rules: dict[frozenset, dict[str, float]] = {}
 
@@ -310,34 +365,45 @@ class Rules:
     def __init__(self, names: list[str], rules: dict[frozenset, dict[str, float]]):
         self.reader = Reader(names)
         self.matcher = Matcher(sorted({t for terms in rules for t in terms}))
-        self.single = {next(iter(t)): e for t, e in rules.items() if len(t) == 1}
-        self.by_first = defaultdict(list)
+        #: For each term its evidence by itself, and the rules of which it is the first term.
+        self.single: dict[str, list[tuple[str, float]]] = {next(iter(t)): list(e.items()) for t, e in rules.items() if len(t) == 1}
+        self.more: dict[str, list] = defaultdict(list)
         for terms, evidence in rules.items():
             if len(terms) > 1:
-                self.by_first[min(terms)].append((terms, evidence))
-
-    def subject(self, sentence: str) -> str | None:
-        """The subject of a sentence; None if no rule matches. Ties go to the first name."""
-        terms = self.matcher.terms(sentence)
-        if not terms:
-            return None
-        score: Counter = Counter()
-        have = frozenset(terms)
-        for t in terms:
-            for s, e in self.single.get(t, {}).items():
-                score[s] += e
-            for more, evidence in self.by_first.get(t, ()):
-                if more <= have:
-                    for s, e in evidence.items():
-                        score[s] += e
+                self.more[min(terms)].append((terms, list(evidence.items())))
+
+    def subject(self, terms: set[str]) -> str | None:
+        """The subject of a sentence with these terms; None if no rule matches. Ties go to the first name."""
+        score: dict[str, float] = {}
+        for t in sorted(terms):
+            for s, e in self.single.get(t, ()):
+                score[s] = score.get(s, 0) + e
+            if t in self.more:
+                for rule, evidence in self.more[t]:
+                    if rule <= terms:
+                        for s, e in evidence:
+                            score[s] = score.get(s, 0) + e
         if not score:
             return None
-        best = min(score, key=lambda s: (-score[s], s))
-        return best if score[best] > 0 else None
+        most = max(score.values())
+        return min(s for s, e in score.items() if e == most) if most > 0 else None
 
     def counts(self, text: str | None) -> Counter:
-        """How many sentences of a text are about each subject."""
-        return Counter(s for s in map(self.subject, self.reader.sentences(text)) if s)
+        """How many sentences of a text are about each subject. No term holds the end of a sentence."""
+        text = self.reader.spelled(text)
+        out: Counter = Counter()
+        ends, at, terms = [m.end() for m in _SENTENCE.finditer(text)], 0, set()
+        for end, t in self.matcher.found(text):
+            if end >= ends[at]:
+                if terms and (s := self.subject(terms)):
+                    out[s] += 1
+                terms = set()
+                while end >= ends[at]:
+                    at += 1
+            terms.add(t)
+        if terms and (s := self.subject(terms)):
+            out[s] += 1
+        return out
 
     def subjects(self, text: str | None, share: float = SHARE) -> list[tuple[str, int, int]]:
         """(subject, its sentences, sentences about any) of the subjects of a text."""
@@ -364,50 +430,23 @@ def _read(rows: DataFrame, names: list[str]) -> DataFrame:
     return rows.mapInArrow(run, "sentences binary, subjects array<string>")
 
 
-def _mark(rows: DataFrame, shared) -> DataFrame:
-    """(sentences, subjects) of the labelled documents and of all others that the rules are sure about."""
-
-    def run(batches):
-        rules = rules_of(shared)
-        for batch in batches:
-            out = []
-            for text, subjects in zip(*(c.to_pylist() for c in batch.columns)):
-                sentences = rules.reader.sentences(text)
-                if subjects is None:
-                    counts = Counter(s for s in map(rules.subject, sentences) if s)
-                    total = sum(counts.values())
-                    subjects = sorted(s for s, n in counts.items() if n >= 0.3 * total)
-                    if total < 3 or not 1 <= len(subjects) <= 2 or sum(counts[s] for s in subjects) < 0.9 * total:
-                        continue
-                out.append((_pack(sentences), subjects))
-            if out:
-                packed, marks = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), pa.array(marks, pa.list_(pa.string()))], names=["sentences", "subjects"])
-
-    return rows.mapInArrow(run, "sentences binary, subjects array<string>")
-
-
 def _share(spark: SparkSession, names: list[str], rules: dict[frozenset, dict[str, float]]):
     return spark.sparkContext.broadcast((uuid.uuid4().hex, names, [(sorted(t), e) for t, e in rules.items()]))
 
 
-def fit_rules(documents: DataFrame, labels: DataFrame, entities: DataFrame):
-    """Rules from all labelled documents, as a broadcast.
-
-    The rules of the labels mark the other documents, all of them; where nearly all of their sentences agree on
-    at most two subjects, they are mined as well, so that terms no labelled document holds get rules too.
-    """
+def fit_rules(documents: DataFrame, labels: DataFrame, entities: DataFrame, most: int = MAX_LABELLED):
+    """Rules from the labelled documents, as a broadcast; of more than ``most`` labelled ones a share by hash of the id."""
     spark = documents.sparkSession
     ship(spark)
     names = company_names(entities)
     marks = labels.where("doc_id is not null and subject is not null").distinct().groupBy("doc_id").agg(F.sort_array(F.collect_set("subject")).alias("subjects"))
-    texts = spread(documents.where(F.length(F.trim("text")) > 0).select("doc_id", "text"), "doc_id")
-    docs = checkpointed(_read(texts.join(marks, "doc_id").select("text", "subjects"), names))
-    rules = mine_rules(docs, choose_terms(docs))
-    if rules:
-        docs = checkpointed(_mark(texts.join(marks, "doc_id", "left").select("text", "subjects"), _share(spark, names, rules)))
-        rules = mine_rules(docs, choose_terms(docs, least=4, purity=0.6))
-    return _share(spark, names, rules)
+    marks = checkpointed(marks)
+    if (n := marks.count()) > most:
+        marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * most / n))
+    texts = documents.where(F.length(F.trim("text")) > 0).select("doc_id", "text")
+    # at most about MAX_LABELLED short rows are sent to all, so no text of an unlabelled document is moved
+    docs = checkpointed(_read(spread(texts.join(F.broadcast(marks), "doc_id"), "doc_id").select("text", "subjects"), names))
+    return _share(spark, names, mine_rules(docs, choose_terms(docs)))
 
 
 _RULES: dict[str, Rules] = {}
