@@ -97,6 +97,10 @@ def p6_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(*neardup.class_pairs(table(spark, sf_dir, "raw_media", "id", "content")))
 
 
+def p6_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.representative_pairs(*neardup.class_pairs(table(spark, sf_dir, "raw_media", "id", "content")))
+
+
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -126,7 +130,7 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p6_found, p6_groups, p7_ids, p8_packed, p8_report, p9_found, p9_subjects, p9_composition)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p6_found, p6_groups, p6_pairs, p7_ids, p8_packed, p8_report, p9_found, p9_subjects, p9_composition)}
 
 
 def oracle_sql() -> dict[str, str]:
