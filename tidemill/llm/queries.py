@@ -82,7 +82,7 @@ def _out_of_part(spark: SparkSession, sf_dir: str, ids: DataFrame) -> DataFrame:
     """(id) of those ``ids`` whose content passed through a wrong encoding or is template residue."""
     media = table(spark, sf_dir, "raw_media", "id", "content")
     shared = mojibake.share_frequencies(spread(media, "id"), ("content",))
-    asked = checkpointed(media.join(ids, "id", "left_semi").distinct())
+    asked = checkpointed(media.join(ids, "id", "left_semi"))
     return mojibake.restore_values(asked, columns=("content",), shared=shared).select("id").unionAll(residue.residue(asked).select("id")).distinct()
 
 
