@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import codes, times
 from tidemill.functions import text as T
+from tidemill.operators import relevance
 
 RNG = random.Random(7)
 ALPHABET = "中文腾讯控股 　\xa0\x1c\t<b>AbZ_9０é，。！(600519)0700.HK"
@@ -67,7 +68,22 @@ def test_wrong_decoding(spark):
     good = "今日午间公布了新一批对公存款，管理层维持原有指引。"
     bad = good.encode().decode("latin-1")
     assert evaluate(spark, T.repaired(F.col("x")), [bad, good, None, "Société"]) == [good, good, "", "Société"]
-    assert evaluate(spark, T.garbled(F.col("x")), ["æ–°é—»å†…å®¹å…¬å¸ƒäº†æ–°ä¸€æ‰¹", good, "短", None]) == [True, False, False, False]
+    # what can be repaired isn't garbled: the repaired text is asked
+    lost = "æ–°é—»å†…å®¹å…¬å¸\ufffdäº†æ–°ä¸€æ‰¹"
+    assert evaluate(spark, T.garbled(F.col("x")), [lost, "æ–°é—»å†…å®¹å…¬å¸ƒäº†æ–°ä¸€æ‰¹", bad, good, "短", None]) == [True, False, False, False, False, False]
+    assert evaluate(spark, T.clean(F.col("x")), [bad, "a\x00 \n b", None]) == [good, "a b", ""]
+
+
+def test_evidence_of_a_target(spark):
+    rows = [("OPEN day", ["PE"]), ("a PE fund", ["pe"]), ("岚 桥 实业", ["岚桥实业"]), ("岚桥 x 实业", ["岚桥实业"]), ("其他", ["", None]), (None, ["PE"]), ("a.b", ["a.b"]), ("axb", ["a.b"])]
+    df = spark.createDataFrame(rows, "t string, forms array<string>")
+    assert [r[0] for r in df.select(relevance.has_evidence(F.col("t"), F.col("forms"))).collect()] == [False, True, True, False, False, False, True, False]
+
+
+def test_article_and_block_pages(spark):
+    urls = ["https://finance.sina.com.cn/x", "https://finance.other.cn/x", "https://stock.sina.com/fund/1", "cj.sina.cn/a", None]
+    assert evaluate(spark, relevance.is_article_url(F.col("x")), urls) == [True, False, False, True, False]
+    assert evaluate(spark, relevance.is_block_page(F.col("x")), ["", None, "x em_capt", "正文"]) == [True, True, True, False]
 
 
 AS_OF = dt.datetime(2025, 1, 10, 4, 0)

@@ -145,7 +145,7 @@ def test_snapshots_and_claims(spark, tmp_path):
     for n in (2, 3):
         tables.write_snapshot(spark.range(n), folder)
     assert tables.read_snapshot(spark, folder).count() == 3
-    assert [tables.claim_once(str(tmp_path / "c"), "task") for _ in range(3)] == [True, False, False]
+    assert [tables.claim_once(spark, str(tmp_path / "c"), "task") for _ in range(3)] == [True, False, False]
 
 
 def test_scans_and_ratios(spark):

@@ -16,6 +16,17 @@ from tidemill.runtime import ship_active
 CORPORATE_SUFFIXES = ["股份有限公司", "控股有限公司", "集团有限公司", "有限责任公司", "有限公司"]
 BUSINESS_SUFFIXES = ["控股", "集团", "股份", "科技"]
 _MARKET_SUFFIX = r"(?:-W|\.HK|\.SZ|\.SH|\.SS)"
+#: Markets that records are collected for, and the first digits of tickers by exchange; other tickers are of ``sz``.
+MARKETS = {"cn": True, "hk": True}
+EXCHANGES = {"sh": ("6", "9"), "bj": ("4", "8")}
+#: Columns in which lists of companies hold each field, the first that says something wins.
+ENTITY_COLUMNS = {
+    "ticker": ["证券代码", "A股代码", "代码", "symbol", "品种代码", "Code"],
+    "company_name": ["公司全称", "公司名称", "中文名称", "名称", "证券简称"],
+    "short_name": ["证券简称", "中文名称", "名称", "简称"],
+    "english_name": ["英文名称", "英文简称", "英文名"],
+    "exchange": ["交易所", "交易所/板块", "市场", "交易类型"],
+}
 
 
 def market(column: Column) -> Column:
@@ -31,6 +42,52 @@ def ticker(column: Column, of_market: Column) -> Column:
     return F.when(good, t)
 
 
+def checked_ticker(column: Column, of_market: Column) -> Column:
+    """A struct (ticker, error): the ticker, or what is wrong with it, so that bad rows can be set aside."""
+    good = ticker(column, of_market)
+    wrong = F.when(good.isNull(), F.concat(F.lit("invalid_ticker:"), of_market, F.lit(":"), strip(column)))
+    return F.struct(good.alias("ticker"), wrong.alias("error"))
+
+
+def market_enabled(column: Column) -> Column:
+    """Whether records of a market are collected; the markets are a map of constants, so nothing is joined."""
+    known = F.create_map(*(F.lit(x) for kv in MARKETS.items() for x in kv))
+    return F.coalesce(F.element_at(known, market(column)), F.lit(False))
+
+
+def exchange_symbol(column: Column) -> Column:
+    """A mainland ticker with its exchange in front, by its first digit."""
+    first = F.substring(column, 1, 1)
+    prefix = F.lit("sz")
+    for name, digits in EXCHANGES.items():
+        prefix = F.when(first.isin(*digits), name).otherwise(prefix)
+    return F.concat(prefix, column)
+
+
+def forum_list_url(column: Column, of_market: Column, page: Column, base: str) -> Column:
+    """The address of a page of a ticker's forum; hk codes get five digits."""
+    hk = F.concat(F.lit("hk"), padded_ticker(column, F.lit("hk")), F.lit("_"))
+    return F.concat(F.lit(base.rstrip("/") + "/list,"), F.when(of_market == "hk", hk).otherwise(F.concat(column, F.lit(",f_"))), page.cast("string"), F.lit(".html"))
+
+
+def stock_news_url(column: Column, of_market: Column, page: Column, bases: dict[str, str]) -> Column:
+    """The address of a page of a ticker's news by the market's pattern with {symbol} and {page}; null for bad tickers."""
+    good = ticker(column, of_market)
+    symbol = F.when(of_market == "hk", padded_ticker(good, F.lit("hk"))).otherwise(exchange_symbol(good))
+    pattern = F.element_at(F.create_map(*(F.lit(x) for kv in bases.items() for x in kv)), of_market)
+    return F.replace(F.replace(pattern, F.lit("{symbol}"), symbol), F.lit("{page}"), page.cast("string"))
+
+
+def first_said(columns: list[str], have: list[str]) -> Column:
+    """The first value that isn't blank of those columns that a table has; empty where none says anything."""
+    return F.coalesce(*(nonempty(strip(F.col(f"`{c}`"))) for c in columns if c in have), F.lit(""))
+
+
+def search_terms(of_ticker: Column, *names: Column) -> Column:
+    """All terms by which a company is searched: the forms of its ticker and names, also of the names in form NFKC."""
+    return aliases(F.array(of_ticker, *names))
+
+
 def without_market_suffix(column: Column) -> Column:
     return strip(F.regexp_replace(strip(column), f"(?i)(?:{WS}*{_MARKET_SUFFIX})+{WS}*$", ""))
 
@@ -126,4 +183,4 @@ def forum_post(url: Column) -> Column:
 def padded_ticker(column: Column, of_market: Column) -> Column:
     """A bad ticker made up to its market's length with zeros; never cut."""
     width = F.when(of_market == "hk", 5).otherwise(6)
-    return F.when(F.length(column) < width, F.lpad(column, width, F.lit("0"))).otherwise(column)
+    return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), width - F.length(column))), column)

@@ -133,7 +133,7 @@ def stratified_sample(df: DataFrame, quota: int, published: str, ordinal: str, u
     plan = allocate(counts, quota).withColumn("_hq", F.when(h + low <= a, h).otherwise(hq))
     plan = plan.withColumn("_lq", F.when(h + low <= a, low).otherwise(F.least(low, a - F.col("_hq")))).select("bucket", "_hq", "_lq").crossJoin(F.broadcast(total))  # one row
     best = W.partitionBy("bucket", "_high").orderBy(F.col("_score").desc(), F.col("_eng").desc(), F.col("_at").desc(), stable_hash(F.col("_url")), F.col("_o"))
-    ranked = rows.where("_ok").join(plan, "bucket").withColumn("_rank", F.row_number().over(best))
+    ranked = rows.where("_ok").join(plan, "bucket").withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= quota)  # a literal, so each task keeps no more
     chosen = ranked.where((F.col("total") <= quota) | (F.col("_rank") <= F.when(F.col("_high"), F.col("_hq")).otherwise(F.col("_lq")))).select("_key").distinct()
     flags = rows.join(chosen.withColumn("_chosen", F.lit(True)), "_key", "left").crossJoin(F.broadcast(total))
     selected = F.col("_ok") & F.coalesce(F.col("_chosen"), F.lit(False))

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions import codes
-from tidemill.functions.text import collapse, garbled, nonempty, stripped_length, text
+from tidemill.functions.text import CJK, WS, clean, collapse, compact_cjk, garbled, nonempty, stripped_length, text, without_controls
 
 # Fixed values of the source rules.
 MAX_CHARS = {"media": 5000, "social": 250}
 NEGATIVE = ["多股上涨", "多股下跌", "板块走强", "龙虎榜", "早盘异动", "午后异动", "资金流入", "资金流出", "资金净流入", "资金净流出", "特大单"]
-BLOCK_MARKS = ["验证码", "访问过于频繁", "sys-guard", "validate.js", "身份核实"]
+BLOCK_MARKS = ["验证码", "访问过于频繁", "sys-guard", "fd_guba_validate", "em_capt", "validate.js", "身份核实", "东方财富证券"]
+ARTICLE_HOSTS = r"(?:finance|stock|cj)\.sina\.(?:com|cn)"
 QUOTE_PAGE_PARTS = ["zixuan", "shortcut.php", "/mkt/", "/stock/index", "/fund/", "/futuremarket/", "/money/", "/guide/"]
 
 
@@ -22,14 +23,24 @@ def matches_ticker(url: Column, ticker: Column) -> Column:
 
 
 def has_evidence(column: Column, forms: Column) -> Column:
-    """Whether a text mentions any alias of an array column."""
-    t, compact = collapse(column), F.regexp_replace(collapse(column), " ", "")
-    return F.exists(F.coalesce(forms, F.array().cast("array<string>")), lambda a: (a != "") & (F.contains(F.lower(t), F.lower(a)) | F.contains(F.lower(compact), F.lower(a))))
+    """Whether a text mentions any alias of an array column.
+
+    ASCII aliases count as whole words whatever their case; others as substrings, as they stand or without white
+    space between Han characters, of the text in either form. Null and blank aliases say nothing.
+    """
+    whole = clean(column)
+    compact = F.regexp_replace(whole, f"(?<={CJK}){WS}+(?={CJK})", "")
+    quoted = lambda a: F.concat(F.lit(r"\Q"), a, F.lit(r"\E"))
+    word = lambda a: F.concat(F.lit("(?<![A-Za-z0-9])(?i:"), quoted(a), F.lit(")(?![A-Za-z0-9])"))
+    # one pattern for all aliases of a row; a lambda couldn't read a text that Python has repaired
+    said = F.filter(F.transform(F.coalesce(forms, F.array().cast("array<string>")), without_controls), lambda a: a != "")
+    pattern = F.array_join(F.transform(said, lambda a: F.when(a.rlike("^[A-Za-z0-9.:-]+$"), word(a)).otherwise(F.concat(quoted(a), F.lit("|"), quoted(compact_cjk(a))))), "|")
+    return (pattern != "") & (F.regexp_like(whole, pattern) | F.regexp_like(compact, pattern))
 
 
-def is_article_url(url: Column, hosts: str = r"(?:finance|stock|cj)\.") -> Column:
+def is_article_url(url: Column, hosts: str = ARTICLE_HOSTS) -> Column:
     """Whether an address is on a host of articles and no quote, fund or help page."""
-    out = text(url).rlike(r"^(?:https?://)?" + hosts)
+    out = text(url).rlike(hosts)
     for part in QUOTE_PAGE_PARTS:
         out = out & ~F.contains(text(url), F.lit(part))
     return out

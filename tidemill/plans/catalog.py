@@ -51,6 +51,69 @@ def _identity(c: str) -> str:
     return f"regexp_replace(lower({_collapse(c)}), '[^\\p{{L}}\\p{{N}}_]+', '', 'g')"
 
 
+# What Windows-1252 writes for the bytes 0x80 to 0x9f, in order; five of them are unused.
+_CP1252 = "€_‚ƒ„…†‡ˆ‰Š‹Œ_Ž__‘’“”•–—˜™š›œ_žŸ"
+_SIGNS = r"(?:[ÃÂâäåæçèé][^\n]|ï¼|ã€|\x{FFFD}|锟斤拷)"
+_CONTROLS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
+
+
+def _score(c: str) -> str:
+    count = lambda pattern: f"len(regexp_extract_all(left({c}, 20000), '{pattern}'))"
+    return f"(CASE WHEN {c} = '' THEN -1000 ELSE 3.0 * {count('[一-鿿]')} + 0.5 * {count('[，。：]')} - 8.0 * {count(_SIGNS)} - 12.0 * {count('\\x{FFFD}')} - 10.0 * {count(_CONTROLS)} - greatest(length(left({c}, 20000)), 1) * 0.0001 END)"
+
+
+def _reread(c: str, byte: str) -> str:
+    """A text's characters as bytes, read as UTF-8; null where that can't be."""
+    marked = f"list_transform(string_split({c}, ''), lambda x: {byte})"
+    return f"CASE WHEN {c} = '' OR list_contains({marked}, '-') THEN NULL ELSE TRY(decode(unhex(array_to_string({marked}, '')))) END"
+
+
+def _repairs(c: str) -> tuple[str, str]:
+    """SQL of a text read again as Latin-1 and as Windows-1252."""
+    hexed = "printf('%02x', ord(x))"
+    latin = f"CASE WHEN ord(x) < 256 THEN {hexed} ELSE '-' END"
+    cp = f"CASE WHEN ord(x) < 128 OR ord(x) BETWEEN 160 AND 255 THEN {hexed} WHEN x <> '_' AND instr('{_CP1252}', x) > 0 THEN printf('%02x', 127 + instr('{_CP1252}', x)) ELSE '-' END"
+    return _reread(c, latin), _reread(c, cp)
+
+
+def _with_repaired(source: str, *columns: str) -> str:
+    """``source`` (a table or query in parentheses) with ``<column>_r``, each column's repaired text."""
+    first = ", ".join(f"{a} AS {c}_l, {b} AS {c}_w" for c in columns for a, b in [_repairs(f"coalesce({c}, '')")])
+    second = ", ".join(f"CASE WHEN {c}_l IS NOT NULL AND {_score(c + '_l')} > {_score('coalesce(' + c + ", '')")} + 5 THEN {c}_l ELSE coalesce({c}, '') END AS {c}_b" for c in columns)
+    third = ", ".join(f"CASE WHEN {c}_w IS NOT NULL AND {_score(c + '_w')} > {_score(c + '_b')} + 5 THEN {c}_w ELSE {c}_b END AS {c}_r" for c in columns)
+    return f"(SELECT *, {third} FROM (SELECT *, {second} FROM (SELECT *, {first} FROM {source})))"
+
+
+def _cleaned(c: str) -> str:
+    return _collapse(f"regexp_replace({c}, '{_CONTROLS}', '', 'g')")
+
+
+def _compact(c: str) -> str:
+    """No space between Han characters, in collapsed text; a second pass takes the ones whose neighbour the first used."""
+    one = lambda x: f"regexp_replace({x}, '([一-鿿]) ([一-鿿])', '\\1\\2', 'g')"
+    return one(one(c))
+
+
+_ASCII_NAME = "^[A-Za-z0-9.:-]+$"
+
+
+def _evidence(body: str, name: str) -> str:
+    """Whether a text, with its repaired form beside it, mentions a name."""
+    whole, alias = _cleaned(f"{body}_r"), _cleaned(f"coalesce({name}, '')")
+    word = f"'(?i)(?:^|[^A-Za-z0-9])' || regexp_escape({alias}) || '(?:[^A-Za-z0-9]|$)'"
+    found = " OR ".join(f"contains({x}, {y})" for x in (whole, _compact(whole)) for y in (alias, _compact(alias)))
+    return f"({alias} <> '' AND CASE WHEN regexp_matches({alias}, '{_ASCII_NAME}') THEN regexp_matches({whole}, {word}) OR regexp_matches({_compact(whole)}, {word}) ELSE {found} END)"
+
+
+NAMES_SQL = "e AS (SELECT market, ticker, arg_max(nullif(trim(short_name), ''), updated_at) FILTER (trim(short_name) <> '') AS short_name FROM ticker_entities GROUP BY ALL)"
+
+
+def _garbled(c: str) -> str:
+    """Of a column with its repaired text beside it."""
+    signs, han = (f"len(regexp_extract_all(left({c}_r, 2000), '{p}'))" for p in (_SIGNS, "[一-鿿]"))
+    return f"(length({_strip(c)}) >= 20 AND {signs} >= 4 AND {signs} > {han})"
+
+
 def _untagged(c: str) -> str:
     return f"trim(regexp_replace(regexp_replace(coalesce({c}, ''), '<[^>]+>', ' ', 'g'), '{_WS}+', ' ', 'g'))"
 
@@ -132,12 +195,25 @@ def simhash_value(spark, d):
 )
 def near_dup_hashes(spark, d):
     held = table(spark, d, "raw_media", "simhash").where("simhash is not null and simhash <> ''").distinct().select("simhash", F.conv("simhash", 16, -10).cast("long").alias("v"))
-    pairs = dedupe.near_pairs(held, "simhash", "v")
-    a, b = held.select(F.col("simhash").alias("a"), F.col("v").alias("va")), held.select(F.col("simhash").alias("b"), F.col("v").alias("vb"))
-    return pairs.join(a, "a").join(b, "b").select(F.col("a").alias("hash_a"), F.col("b").alias("hash_b"), F.bit_count(F.col("va").bitwiseXOR(F.col("vb"))).alias("distance"))
+    near = dedupe.near_classes(held, "v")
+    a, b = dedupe.simhash_hex(F.col("sa")), dedupe.simhash_hex(F.col("sb"))
+    return near.select(F.least(a, b).alias("hash_a"), F.greatest(a, b).alias("hash_b"), F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))).alias("distance"))
+
+
+def _rounds(n: int) -> str:
+    """Labels of the greedy grouping: the smallest label among earlier matches, as often as a chain is long."""
+    first = "l0 AS (SELECT o AS b, o AS label FROM g)"
+    return ", ".join([first, *(f"l{i} AS (SELECT g.o AS b, coalesce(min(x.label), g.o) AS label FROM g LEFT JOIN pairs ON pairs.b = g.o LEFT JOIN l{i - 1} x ON x.b = pairs.a GROUP BY g.o)" for i in range(1, n + 1))])
 
 
-@query()
+@query(
+    f"""WITH RECURSIVE {_SIMHASH_TABLE.replace("SELECT DISTINCT id, concat_ws", "SELECT DISTINCT id, market, ticker, title, content, url, published_at, concat_ws")},
+      g AS (SELECT rows.id, market, ticker, published_at, coalesce(url, '') AS url, nullif({_strip('url')}, '') AS u, {_identity("coalesce(nullif(content, ''), title)")} AS h, nullif(simhash, 0) AS sh, coalesce(strftime(published_at, '%Y%m%d%H%M%S'), '9') || '|' || rows.id AS o FROM rows LEFT JOIN p USING (id)),
+      pairs AS (SELECT x.o AS a, y.o AS b FROM g x JOIN g y ON x.market = y.market AND x.ticker = y.ticker AND x.o < y.o WHERE x.u = y.u OR x.h <> '' AND x.h = y.h OR bit_count(xor(x.sh, y.sh)) <= 6),
+      {_rounds(9)}, d AS (SELECT label, g.*, row_number() OVER (PARTITION BY label ORDER BY published_at NULLS LAST, url, o) AS k FROM l9 JOIN g ON g.o = l9.b),
+      uu AS (SELECT label, u, min(k) AS k FROM d WHERE u IS NOT NULL GROUP BY ALL), us AS (SELECT label, string_agg(u, ' ' ORDER BY k) AS urls FROM uu GROUP BY label)
+    SELECT first(id ORDER BY k) AS id, label AS "group", count(*)::INT AS duplicate_count, coalesce(any_value(urls), '') AS duplicate_urls FROM d LEFT JOIN us USING (label) GROUP BY label"""
+)
 def near_dup_groups(spark, d):
     rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "task_id", "title", "content", "url", "published_at")
     rows = rows.withColumn("ordinal", F.concat_ws("|", F.coalesce(F.date_format("published_at", "yyyyMMddHHmmss"), F.lit("9")), "id"))
@@ -250,44 +326,112 @@ def _alias_dimension(spark, d) -> DataFrame:
     return e.select("market", "ticker", codes.aliases(F.array("ticker", "company_name", "short_name", "english_name")).alias("aliases"))
 
 
-@query()
+# A market's suffixes at the end of a name, the endings of companies, and what a code is without them.
+_NAME = rf"trim(regexp_replace({_compact(_collapse('name'))}, '(?i)(?:\s*(?:-W|\.HK|\.SZ|\.SH|\.SS))+\s*$', ''))"
+_FIRST, _SECOND = ("(" + "|".join(s) + ")$" for s in (codes.CORPORATE_SUFFIXES, codes.BUSINESS_SUFFIXES))
+
+
+def _shorter(c: str, ending: str) -> str:
+    rest = f"trim(regexp_replace({c}, '{ending}', ''))"
+    return f"CASE WHEN regexp_matches({c}, '{ending}') AND length(regexp_replace({rest}, '[^一-鿿]', '', 'g')) >= 2 THEN {rest} END"
+
+
+def _code_sql(c: str) -> str:
+    bare = f"regexp_replace(regexp_replace(upper(regexp_replace({c}, '[^0-9A-Za-z]', '', 'g')), 'HK$', ''), '(?:SH|SZ|SS)$', '')"
+    return f"CASE WHEN regexp_full_match({bare}, '[0-9]+') THEN coalesce(nullif(ltrim({bare}, '0'), ''), '0') ELSE {bare} END"
+
+
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
+_MERGED = """SELECT market, ticker, arg_max(nullif(trim(company_name), ''), updated_at) FILTER (trim(company_name) <> '') AS company_name, arg_max(nullif(trim(short_name), ''), updated_at) FILTER (trim(short_name) <> '') AS short_name,
+      arg_max(nullif(trim(english_name), ''), updated_at) FILTER (trim(english_name) <> '') AS english_name FROM ticker_entities GROUP BY market, ticker"""
+_ALIASES = rf"""g AS ({_MERGED}), n AS (SELECT market, ticker, i, [ticker, company_name, short_name, english_name][i] AS name FROM g, range(1, 5) r(i)),
+      v0 AS (SELECT market, ticker, i, {_NAME.replace("coalesce(name, '')", f"translate(coalesce(name, ''), '{_WIDE}', '" + "".join(map(chr, range(0x21, 0x7F))).replace("'", "''") + "')")} AS v FROM n),
+      v1 AS (SELECT *, {_shorter('v', _FIRST)} AS w FROM v0 WHERE v <> ''), v2 AS (SELECT *, {_shorter('v', _SECOND)} AS x, {_shorter('w', _SECOND)} AS y FROM v1),
+      f AS (SELECT market, ticker, i, k, unnest([v, w, x, y]) AS a, unnest([1, 2, 3, 4]) AS j FROM v2, (SELECT 1 AS k)),
+      c AS (SELECT *, {_code_sql('a')} AS code FROM f WHERE a <> ''),
+      l AS (SELECT market, ticker, i, j, unnest([a, CASE WHEN code <> '' AND code <> a THEN code END, CASE WHEN regexp_full_match(code, '[0-9]{{1,5}}') THEN lpad(code, greatest(4, length(code))::INT, '0') END, CASE WHEN regexp_full_match(code, '[0-9]{{1,5}}') THEN lpad(code, 5, '0') END]) AS alias, unnest([1, 2, 3, 4]) AS p FROM c),
+      o AS (SELECT market, ticker, alias, min((i * 10 + j) * 10 + p) AS place FROM l WHERE alias IS NOT NULL GROUP BY ALL),
+      al AS (SELECT market, ticker, list(alias ORDER BY place) AS aliases FROM o GROUP BY ALL)"""
+
+
+@query(f"WITH {_ALIASES} SELECT market, ticker, array_to_string(aliases, '|') AS aliases FROM al")
 def company_aliases(spark, d):
     return _alias_dimension(spark, d).select("market", "ticker", F.array_join("aliases", "|").alias("aliases"))
 
 
-@query()
+def _mentions(t: str, alias: str) -> str:
+    """How often a collapsed text mentions a name. For whole words every sign is doubled, so that neighbours don't share one."""
+    doubled = lambda x: f"regexp_replace({x}, '([^A-Za-z0-9])', '\\1\\1', 'g')"
+    words = lambda x: f"len(regexp_extract_all({doubled(x)}, '(?i)(?:^|[^A-Za-z0-9])' || regexp_escape({doubled(alias)}) || '(?:[^A-Za-z0-9]|$)'))"
+    inside = lambda x: f"(length({x}) - length(replace({x}, {alias}, ''))) // length({alias})"
+    c = _compact(t)
+    return f"CASE WHEN {alias} = '' THEN 0 WHEN regexp_matches({alias}, '{_ASCII_NAME}') THEN greatest({words(t)}, {words(c)}) ELSE greatest({inside(t)}, {inside(c)}) END"
+
+
+# Runs of digits between two marks, so that a pattern can ask for a whole run.
+_MARKED = r"regexp_replace(coalesce({c}, ''), '(\p{{Nd}}+)', chr(2) || '\1' || chr(1), 'g')"
+
+
+def _codes_sql(c: str) -> str:
+    m = _MARKED.format(c=c)
+    six = rf"regexp_extract_all({m}, '\x02([03468]\p{{Nd}}{{5}})\x01', 1)"
+    hk = (rf"(?i)(?:HK|港股|代码|股份代号|股票代码){_WS}*[:：]?{_WS}*\x02(\p{{Nd}}{{4,5}})\x01", rf"(?i)\x02(\p{{Nd}}{{4,5}})\x01{_WS}*\.HK(?:[^\p{{L}}\p{{N}}_\x02]|$)", r"[（(]\x02(\p{Nd}{4,5})\x01[）)]")
+    rest = " || ".join(f"regexp_extract_all({m}, '{p}', 1)" for p in hk)
+    return f"list_transform({six} || list_filter({rest}, lambda x: NOT regexp_full_match(x, '(?:19|20)[0-9]{{2}}')), lambda x: coalesce(nullif(ltrim(x, '0'), ''), '0'))"
+
+
+_NEGATIVE = "(" + " OR ".join(f"contains(body, '{w}')" for w in relevance.NEGATIVE) + ")"
+
+
+@query(
+    f"""WITH {_ALIASES}, m AS (SELECT DISTINCT id, market, ticker, title, summary, content FROM raw_media),
+      b AS (SELECT id, {_collapse('title')} AS t, {_collapse("concat_ws(' ', coalesce(title, ''), coalesce(nullif(content, ''), nullif(summary, ''), ''))")} AS body, coalesce(aliases, []) AS aliases FROM m LEFT JOIN al USING (market, ticker)),
+      s AS (SELECT id, sum({_mentions('body', 'a')}) AS n, sum({_mentions('t', 'a')}) AS nt FROM (SELECT id, t, body, unnest(aliases) AS a FROM b) GROUP BY id),
+      k AS (SELECT b.id, body, coalesce(n, 0) AS n, coalesce(nt, 0) AS nt, list_filter({_codes_sql('body')}, lambda x: NOT list_contains(list_transform(aliases, lambda a: {_code_sql('a')}), x)) AS others FROM b LEFT JOIN s USING (id)),
+      q AS (SELECT *, len(others) AS o, len(list_distinct(others)) AS u, CASE WHEN n + len(others) > 0 THEN n / (n + len(others)) ELSE 0.0 END AS share FROM k),
+      z AS (SELECT *, CASE WHEN n = 0 THEN 'target_not_found_kept' WHEN {_NEGATIVE} THEN 'negative_pattern_hit' WHEN nt > 0 AND n >= 2 THEN 'target_in_title_and_repeated' WHEN u <= 1 AND n >= 2 THEN 'target_dominant_with_few_other_tickers'
+        WHEN u >= 5 THEN 'too_many_other_tickers' WHEN share <= 0.35 AND n + o > 7 THEN 'low_target_share_with_many_mentions' ELSE 'edge_case_kept_to_avoid_false_negative' END AS reason FROM q)
+    SELECT id, reason NOT IN ('negative_pattern_hit', 'too_many_other_tickers', 'low_target_share_with_many_mentions') AS is_relevant, reason, n::INT AS target_mentions, u::INT AS other_tickers, o::INT AS other_mentions, (n + o)::INT AS total_mentions, round(share, 6) AS target_share FROM z"""
+)
 def relevance_ladder(spark, d):
     rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "title", "summary", "content")
     labelled = relevance.relevance(rows.join(_alias_dimension(spark, d), ["market", "ticker"], "left"), "title", "content", "summary", "aliases")
     return labelled.select("id", "decision.*")
 
 
-@query(
-    f"""WITH e AS (SELECT market, ticker, arg_max(nullif(trim(short_name), ''), updated_at) FILTER (trim(short_name) <> '') AS short_name FROM ticker_entities GROUP BY ALL),
-      m AS (SELECT DISTINCT id, market, ticker, {_collapse('content')} AS t FROM raw_media)
-    SELECT id, ((length(t) - length(replace(t, short_name, ''))) / length(short_name))::INT AS mentions FROM m JOIN e USING (market, ticker)
-    WHERE short_name IS NOT NULL AND NOT regexp_matches(short_name, '^[A-Za-z0-9.:-]+$') AND NOT regexp_matches(t, '[一-鿿]{_WS}+[一-鿿]')"""
-)
+@query(f"WITH {_ALIASES}, m AS (SELECT DISTINCT id, market, ticker, {_collapse('content')} AS t FROM raw_media), s AS (SELECT id, sum({_mentions('t', 'a')})::INT AS n FROM (SELECT id, t, unnest(aliases) AS a FROM m JOIN al USING (market, ticker)) GROUP BY id) SELECT m.id, coalesce(n, 0) AS mentions FROM m LEFT JOIN s USING (id)")
 def alias_mentions(spark, d):
-    names = entity_merge(spark, d).where(~F.col("short_name").rlike("^[A-Za-z0-9.:-]+$")).select("market", "ticker", "short_name")
-    rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "content").join(names, ["market", "ticker"])
-    rows = rows.where(~T.collapse(F.col("content")).rlike(f"[一-鿿]{T.WS}+[一-鿿]"))
-    return rows.select("id", codes.mentions(F.col("content"), F.array("short_name")).alias("mentions"))
+    rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "content").join(_alias_dimension(spark, d), ["market", "ticker"], "left")
+    return rows.select("id", codes.mentions(F.col("content"), F.col("aliases")).alias("mentions"))
+
+
+@query(f"WITH t AS (SELECT DISTINCT id, content FROM raw_media) SELECT id, coalesce(array_to_string({_codes_sql('content')}, ','), '') AS codes FROM t")
+def stock_codes(spark, d):
+    return _rows(spark, d, "raw_media", "id", "content").select("id", F.array_join(codes.stock_codes(F.col("content")), ",").alias("codes"))
 
 
 @query(
-    r"""WITH t AS (SELECT DISTINCT id, regexp_replace(coalesce(content, ''), '(\p{Nd}+)', ' \1 ', 'g') AS t, content FROM raw_media)
-    SELECT id, coalesce(array_to_string(list_transform(list_filter(regexp_extract_all(t, '\p{Nd}+'), lambda x: regexp_full_match(x, '[03468]\p{Nd}{5}')), lambda x: coalesce(nullif(ltrim(x, '0'), ''), '0')), ','), '') AS codes FROM t"""
+    f"""WITH {NAMES_SQL}, m AS (SELECT DISTINCT id, market, ticker, content FROM raw_media) SELECT id FROM {_with_repaired('(SELECT * FROM m JOIN e USING (market, ticker))', 'content')} WHERE {_evidence('content', 'short_name')} OR {_evidence('content', 'ticker')}"""
 )
-def stock_codes(spark, d):
-    rows = _rows(spark, d, "raw_media", "id", "content")
-    six = F.regexp_extract_all(T.text(F.col("content")), F.lit(r"(?<!\p{Nd})([03468]\p{Nd}{5})(?!\p{Nd})"), F.lit(1))
-    return rows.select("id", F.array_join(F.transform(six, lambda c: F.coalesce(F.nullif(F.ltrim(c, F.lit("0")), F.lit("")), F.lit("0"))), ",").alias("codes"))
+def target_evidence(spark, d):
+    rows = _rows(spark, d, "raw_media", "id", "market", "ticker", "content").join(entity_merge(spark, d).select("market", "ticker", "short_name"), ["market", "ticker"])
+    return rows.where(relevance.has_evidence(F.col("content"), F.array("short_name", "ticker"))).select("id")
 
 
-@query()
-def all_stock_codes(spark, d):
-    return _rows(spark, d, "raw_media", "id", "content").select("id", F.array_join(codes.stock_codes(F.col("content")), ",").alias("codes"))
+_NEWS_URL = "regexp_replace(url, '^https?://[^/]*', CASE WHEN substr(md5(id), 1, 1) < '8' THEN 'https://finance.sina.com.cn' WHEN substr(md5(id), 1, 1) < 'c' THEN 'https://stock.sina.com/fund' ELSE 'https://finance.example' END)"
+
+
+@query(f"SELECT DISTINCT id FROM raw_media WHERE regexp_matches({_NEWS_URL}, '(?:finance|stock|cj)\\.sina\\.(?:com|cn)') AND NOT regexp_matches({_NEWS_URL}, 'zixuan|shortcut\\.php|/mkt/|/stock/index|/fund/|/futuremarket/|/money/|/guide/')")
+def article_urls(spark, d):
+    first = F.substring(F.md5("id"), 1, 1)
+    host = F.when(first < "8", "https://finance.sina.com.cn").when(first < "c", "https://stock.sina.com/fund").otherwise("https://finance.example")
+    rows = table(spark, d, "raw_media", "id", "url").withColumn("url", F.regexp_replace(F.col("url"), F.lit("^https?://[^/]*"), host))
+    return rows.where(relevance.is_article_url(F.col("url"))).select("id").distinct()
+
+
+@query("SELECT DISTINCT id FROM raw_media WHERE coalesce(content, '') = '' OR regexp_matches(content, '验证码|访问过于频繁|sys-guard|fd_guba_validate|em_capt|validate\\.js|身份核实|东方财富证券')")
+def block_pages(spark, d):
+    return table(spark, d, "raw_media", "id", "content").where(relevance.is_block_page(F.col("content"))).select("id").distinct()
 
 
 @query(
@@ -299,45 +443,36 @@ def earliest_per_url(spark, d):
 
 
 @query(
-    f"""SELECT key AS url, arg_max(id, struct_pack(a := created_at, b := id)) AS id FROM (SELECT {_strip('url')} AS key, id, created_at FROM raw_social WHERE created_at IS NOT NULL) WHERE key <> '' GROUP BY key"""
+    f"""SELECT key AS url, arg_max(id, struct_pack(n := created_at IS NOT NULL, a := created_at, b := id)) AS id, 't1' AS task_id FROM (SELECT {_strip('url')} AS key, id, created_at FROM raw_social) WHERE key <> '' GROUP BY key"""
 )
 def last_wins_batch(spark, d):
-    rows = table(spark, d, "raw_social", "id", "url", "created_at").where("created_at is not null").withColumn("o", F.struct("created_at", "id"))
-    return rows.where(T.strip(F.col("url")) != "").withColumn("key", T.strip(F.col("url"))).groupBy("key").agg(F.max_by("id", "o").alias("id")).withColumnRenamed("key", "url")
+    rows = table(spark, d, "raw_social", "id", "url", "created_at").withColumn("o", F.struct("created_at", "id"))
+    return tables.prepared_batch(rows, "o", task_id="t1").select(T.strip(F.col("url")).alias("url"), "id", "task_id")
 
 
 @query(
-    """WITH r AS (SELECT DISTINCT id, market, ticker, url, coalesce(title, '-') AS title FROM raw_media WHERE url IS NOT NULL AND market IS NOT NULL AND ticker IS NOT NULL AND id IS NOT NULL),
-      o AS (SELECT market, ticker, url, max(id) AS id, arg_max(title, id) AS title FROM r WHERE id < '8' GROUP BY ALL), b AS (SELECT market, ticker, url, max(id) AS id, arg_max(title, id) AS title FROM r WHERE id >= '8' GROUP BY ALL)
-    SELECT market, ticker, url, coalesce(b.id, o.id) AS id, coalesce(b.title, o.title) AS title, CASE WHEN o.url IS NULL THEN 2 ELSE 1 END AS created_at, CASE WHEN b.url IS NULL THEN 1 ELSE 2 END AS updated_at FROM o FULL JOIN b USING (market, ticker, url)"""
+    """WITH r AS (SELECT DISTINCT id, market, ticker, url, title, summary FROM raw_media WHERE url IS NOT NULL AND market IS NOT NULL AND ticker IS NOT NULL),
+      s AS (SELECT *, row_number() OVER (PARTITION BY market, ticker, url, coalesce(id, '') >= '8' ORDER BY coalesce(id, '') DESC) AS k, coalesce(id, '') >= '8' AS late FROM r),
+      o AS (SELECT * FROM s WHERE k = 1 AND NOT late), b AS (SELECT * FROM s WHERE k = 1 AND late)
+    SELECT market, ticker, url, CASE WHEN b.url IS NULL THEN o.id ELSE b.id END AS id, CASE WHEN b.url IS NULL THEN o.title ELSE b.title END AS title, CASE WHEN b.url IS NULL THEN o.summary END AS summary, CASE WHEN o.url IS NULL THEN 2 ELSE 1 END AS created_at, CASE WHEN b.url IS NULL THEN 1 ELSE 2 END AS updated_at FROM o FULL JOIN b USING (market, ticker, url)"""
 )
 def merge_upsert(spark, d):
+    """Later rows without their summary: the stored summary must become null."""
     keys = ["market", "ticker", "url"]
-    rows = table(spark, d, "raw_media", "id", *keys, "title").dropna(subset=["id", *keys]).na.fill("-", ["title"]).distinct()
-    half = lambda part: tables.last_per_key(part.withColumn("o", F.col("id")), keys, "o").drop("o")
-    stored = half(rows.where("id < '8'")).withColumns({"created_at": F.lit(1), "updated_at": F.lit(1)})
-    return tables.upsert(stored, half(rows.where("id >= '8'")), keys, F.lit(2))
+    rows = table(spark, d, "raw_media", "id", *keys, "title", "summary").dropna(subset=keys).distinct().withColumn("o", F.coalesce("id", F.lit("")))
+    half = lambda part: tables.last_per_key(part, keys, "o").drop("o")
+    stored = half(rows.where("o < '8'")).withColumns({"created_at": F.lit(1), "updated_at": F.lit(1)})
+    return tables.upsert(stored, half(rows.where("o >= '8'")).withColumn("summary", F.lit(None).cast("string")), keys, F.lit(2))
 
 
 @query(
-    f"""WITH m AS (SELECT DISTINCT id, url, title, summary FROM raw_media WHERE url IS NOT NULL), c AS (SELECT url, max({_strip('content')}) AS full_text FROM raw_media WHERE url IS NOT NULL AND content IS NOT NULL GROUP BY url)
-    SELECT id, md5(coalesce(nullif({_strip('full_text')}, ''), nullif({_strip('summary')}, ''), coalesce(title, ''))) AS content, c.url IS NOT NULL AS has_detail FROM m LEFT JOIN c USING (url)"""
+    f"""WITH m AS (SELECT DISTINCT id, url, title, summary FROM raw_media), c AS (SELECT url, max({_strip('content')}) AS full_text, max(source_name) AS source FROM raw_media WHERE url IS NOT NULL AND content IS NOT NULL GROUP BY url)
+    SELECT id, md5(coalesce(nullif({_strip('full_text')}, ''), nullif({_strip('summary')}, ''), coalesce(title, ''))) AS content, coalesce(nullif({_strip('source')}, ''), summary) AS summary, c.url IS NOT NULL AS has_detail FROM m LEFT JOIN c USING (url)"""
 )
 def detail_join_fallback(spark, d):
-    rows = table(spark, d, "raw_media", "id", "url", "title", "summary", "content").where("url is not null")
-    details = rows.where("content is not null").groupBy("url").agg(F.max(T.strip(F.col("content"))).alias("full_text")).withColumn("detail_summary", F.lit(None).cast("string"))
-    return tables.join_details(rows.drop("content").distinct(), details).select("id", F.md5("content").alias("content"), "has_detail")
-
-
-@query(
-    """WITH n AS (SELECT DISTINCT market, ticker, trim(short_name) AS name FROM ticker_entities WHERE trim(short_name) <> '')
-    SELECT DISTINCT id FROM raw_media m WHERE EXISTS (SELECT 1 FROM n WHERE n.market = m.market AND n.ticker = m.ticker AND contains(m.content, n.name))"""
-)
-def semi_evidence(spark, d):
-    names = table(spark, d, "ticker_entities", "market", "ticker", "short_name").where("trim(short_name) <> ''").select("market", "ticker", F.trim("short_name").alias("name")).distinct()
-    rows = table(spark, d, "raw_media", "id", "market", "ticker", "content")
-    hit = (rows["market"] == names["market"]) & (rows["ticker"] == names["ticker"]) & F.contains(rows["content"], names["name"])
-    return rows.join(names, hit, "left_semi").select("id").distinct()
+    rows = table(spark, d, "raw_media", "id", "url", "title", "summary", "content", "source_name")
+    details = rows.where("content is not null and url is not null").groupBy("url").agg(F.max(T.strip(F.col("content"))).alias("full_text"), F.max("source_name").alias("detail_summary"))
+    return tables.join_details(rows.drop("content", "source_name").distinct(), details).select("id", F.md5("content").alias("content"), "summary", "has_detail")
 
 
 @query("SELECT DISTINCT id FROM raw_media m WHERE NOT EXISTS (SELECT 1 FROM crawler_tasks t WHERE t.task_id = m.task_id)")
@@ -351,8 +486,7 @@ def json_props(spark, d):
 
 
 @query(
-    f"""WITH m AS (SELECT DISTINCT id, channel, title, content, is_content_relevant FROM raw_media), b AS (SELECT channel, is_content_relevant,
-      {_collapse("regexp_replace(coalesce(content, ''), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g')")} AS c, {_collapse("regexp_replace(coalesce(title, ''), '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f]', '', 'g')")} AS t FROM m),
+    f"""WITH m AS (SELECT DISTINCT id, channel, title, content, is_content_relevant FROM raw_media), b AS (SELECT channel, is_content_relevant, {_cleaned('content_r')} AS c, {_cleaned('title_r')} AS t FROM {_with_repaired('m', 'content', 'title')}),
       g AS (SELECT channel, count(*) AS rows, count(*) FILTER (length(c) >= 30 AND c <> t) AS with_body, count(*) FILTER (is_content_relevant IS DISTINCT FROM false) AS relevant, count(*) FILTER (is_content_relevant = false) AS irrelevant FROM b GROUP BY 1)
     SELECT *, round(with_body / rows, 4) AS body_share, round(relevant / rows, 4) AS relevant_share FROM g"""
 )
@@ -396,22 +530,30 @@ def page_bounds(spark, d):
     return bounds.select("task_id", F.unix_micros("oldest").alias("oldest"), F.unix_micros("newest").alias("newest"))
 
 
-@query()
+@query(f"WITH m AS (SELECT DISTINCT id, title, summary, content FROM raw_media) SELECT id FROM {_with_repaired('m', 'title', 'summary', 'content')} WHERE {_garbled('title')} OR {_garbled('summary')} OR {_garbled('content')}")
 def garbled_rows(spark, d):
     rows = _rows(spark, d, "raw_media", "id", "title", "summary", "content")
-    bad = T.garbled(F.col("title")) | T.garbled(F.col("summary")) | T.garbled(F.col("content"))
-    return rows.where(bad).select("id")
+    return rows.join(relevance.drop_garbled(rows, "title", "summary", "content").select("id").distinct(), "id", "left_anti").select("id")
 
 
-@query()
+@query(f"WITH m AS (SELECT DISTINCT id, title FROM raw_media WHERE title IS NOT NULL) SELECT id, title_r AS repaired FROM {_with_repaired('m', 'title')} WHERE title_r <> title")
 def repaired_titles(spark, d):
     rows = table(spark, d, "raw_media", "id", "title").where("title is not null").distinct()
     return rows.withColumn("repaired", T.repaired(F.col("title"))).where("repaired <> title").select("id", "repaired")
 
 
+@query(f"WITH m AS (SELECT DISTINCT id, content FROM raw_media WHERE content IS NOT NULL) SELECT id, md5({_cleaned('content_r')}) AS cleaned FROM {_with_repaired('m', 'content')}")
+def cleaned_contents(spark, d):
+    rows = _rows(spark, d, "raw_media", "id", "content").where("content is not null")
+    return rows.select("id", F.md5(T.clean(F.col("content"))).alias("cleaned"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from tidemill.plans import landed, stored  # noqa: F401  both register their queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

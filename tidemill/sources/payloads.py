@@ -8,37 +8,30 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import CONTROL, MOJIBAKE
+from tidemill.functions.text import repair, script_score
 from tidemill.runtime import ship, ship_active
 
 # Encodings that Chinese pages come in, in the order in which they are tried.
 ENCODINGS = ("utf-8", "gb18030", "gbk", "gb2312", "big5", "cp950")
 _DECLARED = re.compile(rb"charset=[\"']?([A-Za-z0-9_\-]+)", re.I)
-_HAN, _CONTROL = re.compile("[一-鿿]"), re.compile(CONTROL)
-_SIGNS = re.compile(MOJIBAKE.replace(r"\x{FFFD}", "�"))
-
-
-def _score(text: str) -> float:
-    sample = text[:20000]
-    good = 3.0 * len(_HAN.findall(sample)) + 0.5 * sum(map(sample.count, "，。："))
-    return good - 8.0 * len(_SIGNS.findall(sample)) - 12.0 * sample.count("�") - 10.0 * len(_CONTROL.findall(sample)) - 0.0001 * len(sample)
+_UNSAID = {"iso-8859-1", "latin-1", "latin1", "windows-1252"}  # what servers claim when they don't know
 
 
 def decode_bytes(data: bytes | None, declared: str | None = None) -> str | None:
-    """The decoding that looks most like proper Chinese; of equals the one tried first, declared encodings before all."""
+    """The decoding, repaired, that looks most like proper Chinese; of equals the one tried first, declared ones before all."""
     if data is None:
         return None
     found = _DECLARED.search(data[:4096])
     tried = [declared, found.group(1).decode("ascii", "ignore") if found else None, *ENCODINGS]
     best, most = None, float("-inf")
-    for encoding in dict.fromkeys(e.lower() for e in tried if e):
+    for encoding in dict.fromkeys(name for e in tried if e and (name := e.strip().lower()) not in _UNSAID):
         try:
-            text = data.decode(encoding)
+            text = repair(data.decode(encoding))
         except (UnicodeError, LookupError):
             continue
-        if (score := _score(text)) > most:
+        if (score := script_score(text)) > most:
             best, most = text, score
-    return best if best is not None else data.decode("utf-8", "replace")
+    return best if best else repair(data.decode("utf-8", "replace"))
 
 
 def decoded(data: Column, declared: Column | None = None) -> Column:
@@ -53,6 +46,23 @@ def decoded(data: Column, declared: Column | None = None) -> Column:
     return run(data, declared if declared is not None else F.lit(None).cast("string"))
 
 
+def encoded(column: Column, encoding: str) -> Column:
+    """The bytes of a text in an encoding; null where it can't say the text. The other way round of :func:`decoded`."""
+    ship_active()
+
+    @F.arrow_udf("binary")
+    def run(values: pa.Array) -> pa.Array:
+        out = []
+        for v in values.to_pylist():
+            try:
+                out.append(None if v is None else v.encode(encoding))
+            except UnicodeError:
+                out.append(None)
+        return pa.array(out, pa.binary())
+
+    return run(column)
+
+
 def read_payloads(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """(path, as_of, payload) of landed files: decoded bytes and the time they were written."""
     ship(spark)

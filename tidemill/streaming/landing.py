@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.operators.tables import prepared_batch, read_snapshot, upsert, write_snapshot
+from tidemill.operators.tables import has_snapshot, prepared_batch, read_snapshot, upsert, write_snapshot
 
 
 def payload_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,7 +25,7 @@ def merge_stream(items: DataFrame, folder: str, checkpoint: str, empty: Callable
 
     def merge(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        stored = read_snapshot(spark, folder) if os.path.exists(os.path.join(folder, "CURRENT")) else empty()
+        stored = read_snapshot(spark, folder) if has_snapshot(spark, folder) else empty()
         ready = prepared_batch(batch.withColumn("_o", F.struct("as_of", "ordinal")), "_o", **stamps)
         write_snapshot(upsert(stored, ready, keys, F.current_timestamp()), folder)
 
