@@ -56,8 +56,8 @@ def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     contents = _contents(spark, sf_dir)
-    parts = (residue.residue(contents.where(F.col("table_name") == name)).select(F.lit(name).alias("table_name"), "id") for name in ("raw_media", "raw_social"))
-    return next(parts).unionAll(next(parts)).distinct()
+    keyed = contents.select(F.struct("table_name", "id").alias("key"), "content")
+    return residue.residue(keyed, "key", found=residue.mined(contents)).select("key.table_name", "key.id").distinct()
 
 
 def p4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,7 @@ def _out_of_part(spark: SparkSession, sf_dir: str, ids: DataFrame) -> DataFrame:
     media = table(spark, sf_dir, "raw_media", "id", "content")
     shared = mojibake.share_frequencies(spread(media, "id"), ("content",))
     asked = checkpointed(media.join(ids, "id", "left_semi"))
-    return mojibake.restore_values(asked, columns=("content",), shared=shared).select("id").unionAll(residue.residue(asked).select("id")).distinct()
+    return mojibake.restore_values(asked, columns=("content",), shared=shared).select("id").unionAll(residue.residue_alone(asked).select("id")).distinct()
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,11 @@
 """Problem 4: template residue, filler and error-page text within and instead of content.
 
-Messages are the lines and sentences of a content. A verdict depends on the text of its message alone, variable
-parts included, so results are the same however rows are spread over tasks. For the report of templates only,
-variable parts of the messages with a verdict are masked, and a fixed-depth prefix tree (length, first tokens,
-similarity within the leaf) mines templates from them; it gives no verdicts.
+Messages are the lines and sentences of a content, with their urls, ids and numbers masked. A prefix tree of fixed
+depth (number of tokens, first tokens) mines templates from the messages of all contents: in a leaf the messages
+come by frequency, each joins the first template of which it shares enough tokens or begins a new one. A template
+is classified once, by its most frequent message, and all its messages have its verdict. Unfilled slots and unset
+values are searched for in each content by themselves, as they stand inside ordinary sentences. The tree sees every
+message once, with its count, in an order of its own, so results are the same however rows are spread over tasks.
 """
 
 from __future__ import annotations
@@ -11,19 +13,30 @@ from __future__ import annotations
 import re
 import re._parser as _parser
 import unicodedata
+import zlib
+from collections import Counter
+from operator import eq
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.runtime import ship, spread
+from tidemill.runtime import checkpointed, ship, spread
+
+#: Depth of the tree in tokens, and the share of equal tokens by which a message joins a template.
+DEPTH, SIMILARITY = 3, 0.7
+#: Messages with a verdict that are sent to every task; more of them are joined.
+SENT = 1_000_000
+#: Messages that a task counts before it hands them on.
+_HELD = 200_000
 
 # ---- fixed values: what templates, servers and scripts leave behind ------------------------------------------
 
 _NAME = r"[\w.一-鿿-]{1,40}"
 SLOTS = re.compile(
     rf"\{{\{{\s*{_NAME}\s*(?:\|[^}}]*)?\}}\}}|[$#]\{{\s*{_NAME}\s*\}}|\{{\$?{_NAME}\}}|\{{%-?\s*\w+[^%]{{0,80}}%\}}|<%[=-]?\s*[^%]{{1,80}}%>"
-    rf"|@@{_NAME}@@|\[\[\s*{_NAME}\s*\]\]|%\({_NAME}\)[sdf]|&lt;{_NAME}&gt;|__[A-Z][A-Z_]+__|%%{_NAME}%%"
+    rf"|@@{_NAME}@@|\[\[\s*{_NAME}\s*\]\]|%\({_NAME}\)[sdf]|&lt;{_NAME}&gt;|__[A-Za-z一-鿿][\w.一-鿿-]{{0,38}}?__|%%{_NAME}%%"
     r"|[【\[（(<{](?:请|請)?(?:在此|在此处)?(?:输入|輸入|填写|填寫|插入|替换为|替換為)[^】\]）)>}]{0,20}[】\]）)>}]"
 )
 _UNSET = r"(?:\(null\)|null|undefined|NaN|None|nil)"
@@ -40,14 +53,14 @@ _LATIN = re.compile(r"[A-Za-z]+")
 FILLER = re.compile(
     r"上线前请替换|上線前請替換|用于排版预览|用於排版預覽|发布前填写|發布前填寫|在发布前.{0,6}填写|正文不限|标题最多.{1,6}字|標題最多.{1,6}字|编辑部测试稿|編輯部測試稿"
     r"|(?:这|這)是一段(?:占位|佔位|测试|測試|示例)|此处为(?:正文|标题|摘要)?(?:示例|占位)|此處為(?:正文|標題|摘要)?(?:示例|佔位)|测试稿.{0,12}删除|測試稿.{0,12}刪除"
-    r"|[Rr]eplace this (?:paragraph|text)|your own (?:copy|text) (?:before|here)|(?:pls|please) ignore|[Ll]orem ipsum|[Ii]nsert (?:text|title) here|[Tt]his is (?:a )?(?:placeholder|dummy)"
+    r"|(?:标题|標題|正文|摘要|图片|圖片)(?:占位|佔位)|^\W*(?:TODO|FIXME|TBD)\b|[Rr]eplace this (?:paragraph|text)|your own (?:copy|text) (?:before|here)|(?:pls|please) ignore|[Ll]orem ipsum|[Ii]nsert (?:text|title) here|[Tt]his is (?:a )?(?:placeholder|dummy)"
 )
 _REPEATED = re.compile(r"^\W*(?P<unit>\w{1,8}?)(?:\s*(?P=unit)){3,}\s*\w{0,7}\W*$")
 ERRORS = re.compile(
     r"(?:^|>|\W)[45]\d\d\s*[-:]?\s*(?:Bad Gateway|Not Found|Forbidden|Gateway Time-?out|Service (?:Temporarily )?Unavailable|Internal Server Error|Bad Request|Unauthorized|Too Many Requests)"
-    r"|Access Denied|Too many requests|upstream (?:connect|request)|Internal error|[A-Z][a-z]+Error: |Exception in thread|Traceback \(most|requested URL|was not found on this server|Reference #"
+    r"|Access Denied|Too many requests|[Ee]rror establishing a|(?:could not|can(?:no|')t) (?:find what you|be (?:reached|displayed))|upstream (?:connect|request)|Internal error|[A-Z][a-z]+Error: |Exception in thread|Traceback \(most|requested URL|was not found on this server|Reference #"
     r"|(?:页面|頁面|网页|網頁)(?:走丢|走失|不存在|找不到|已失效|已过期|已過期|被删除)|(?:访问|訪問|请求|請求)的?(?:页面|頁面|内容|內容|资源|帖子)(?:不存在|已被|已经|未找到)"
-    r"|(?:服务器|伺服器|系统|系統|网络|網絡|網路)(?:开小差|開小差|异常|異常|繁忙|错误|錯誤|超时|逾時|维护中|維護中|升级中|升級中)|(?:稍后|稍後|稍候)(?:再试|再試|重试|重試)|(?:点击|點擊|點按)(?:重试|重試|刷新)"
+    r"|(?:服务器|伺服器|系统|系統|网络|網絡|網路)(?:开小差|開小差|异常|異常|繁忙|错误|錯誤|超时|逾時|维护中|維護中|升级中|升級中)|(?:服务|服務|网站|網站|页面|頁面)(?:暂时|暫時|暂|暫|当前|當前)?(?:不可用|无法访问|無法訪問)|(?:无权|無權|没有权限|沒有權限)(?:访问|訪問|查看|浏览|瀏覽)(?:此|该|該|本)?(?:页|頁|内容|內容|资源|資源)|(?:稍后|稍後|稍候)(?:再试|再試|重试|重試)|(?:点击|點擊|點按)(?:重试|重試|刷新)"
     r"|(?:请|請)(?:重新|先)?(?:登录|登錄|登入)|(?:会话|會話|登录|登錄)(?:已|状态已)?(?:过期|過期|失效)|(?:请求|請求)?参数(?:有误|错误)|參數(?:有誤|錯誤)|(?:数据|數據|加载|載入)(?:加载|載入)?(?:失败|失敗)"
     r"|(?:该|該|此|本)?(?:帖子|文章|内容|內容|主题)已被?(?:作者|管理员|版主)?(?:删除|刪除|屏蔽)|(?:正在|等待)(?:审核|審核)|<html>|<center>|nginx/"
     r"|(?:请|請)(?:先)?(?:完成|通过|通過|进行|進行|输入|輸入)?.{0,6}(?:验证码|驗證碼|滑块|滑塊|身份核验|身份核驗|人机验证|安全验证|安全驗證)|(?:按住|拖动|拖動).{0,4}滑[块塊]|滑[块塊]验证后|安全[验驗][证證][:：]"
@@ -118,65 +131,91 @@ _INVISIBLE = re.compile("[\u00ad\u180e\u200b-\u200f\u2060-\u2064\ufe0e\ufeff]")
 _BREAK = re.compile(r"(?<=[。！？!?\n])|(?<=\. )")
 _MASKS = ((re.compile(r"https?://\S+"), "<url>"), (re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{4,}\b"), "<id>"), (re.compile(r"\d+(?:\.\d+)?"), "<n>"))
 _TOKEN = re.compile(r"<\w+>|[A-Za-z_]+|[㐀-鿿]|\S")
+#: Digits that tell what a message is: status codes before their name, units over and over.
+_TELLING = re.compile(r"\b[45]\d\d\b(?=\s*[-:]?\s*[A-Z])|(?<![\d.])(\d{1,4})\1{3,}\d{0,3}(?![\d.])")
+_AWAY, _BACK = (str.maketrans(x, y) for x, y in (("0123456789", "\ue000\ue001\ue002\ue003\ue004\ue005\ue006\ue007\ue008\ue009"), ("\ue000\ue001\ue002\ue003\ue004\ue005\ue006\ue007\ue008\ue009", "0123456789")))
 
 
 def mask(message: str) -> str:
-    """The message with its variable parts, urls, ids and numbers, masked."""
+    """The message with its variable parts, urls, ids and numbers, masked; digits that tell what it is stay."""
+    kept = _TELLING.search(message) is not None
+    if kept:
+        message = _TELLING.sub(lambda m: m.group().translate(_AWAY), message)
     for pattern, name in _MASKS:
         message = pattern.sub(name, message)
-    return " ".join(message.split())
+    return " ".join((message.translate(_BACK) if kept else message).split())
+
+
+def spelled(content: str) -> str:
+    """A content without signs that only hide what it says, in simplified characters as far as the patterns know them."""
+    if _DISTURBED.search(content):
+        content = unicodedata.normalize("NFKC", _INVISIBLE.sub("", content))
+    return content.translate(_SIMPLE)
+
+
+class Template:
+    """A template: its first message, which decides what joins, its form with wildcards, its verdict and its messages."""
+
+    __slots__ = ("first", "tokens", "shown", "messages", "kind")
+
+    def __init__(self, message: str, tokens: list[str]):
+        self.first, self.tokens, self.shown, self.messages = message, tokens, list(tokens), 0
+        self.kind = template_kind(message)
+
+    def join(self, tokens: list[str], times: int) -> None:
+        self.messages += times
+        if tokens is not self.tokens and tokens != self.tokens:
+            self.shown = [a if a == b else "<*>" for a, b in zip(self.shown, tokens)]
 
 
 class TemplateTree:
-    """A prefix tree of fixed depth: number of tokens, then the first ``depth`` tokens, then similar templates."""
+    """A prefix tree of fixed depth: number of tokens, then the first ``depth`` tokens, then the templates of a leaf."""
 
-    def __init__(self, depth: int = 2, similarity: float = 0.6):
+    def __init__(self, depth: int = DEPTH, similarity: float = SIMILARITY):
         self.depth, self.similarity = depth, similarity
-        self.leaves: dict[tuple, list[list]] = {}
+        self.leaves: dict[tuple, list[Template]] = {}
 
     def path(self, tokens: list[str]) -> tuple:
-        return (len(tokens), *("<*>" if t.startswith("<") else t for t in tokens[: self.depth]))
+        return (len(tokens), *tokens[: self.depth])
 
-    def add(self, masked: str, times: int = 1) -> list:
-        """The template [tokens, count] that the message joins; what differs becomes a wildcard."""
+    def add(self, masked: str, times: int = 1) -> Template:
+        """The template that a message joins: the first of its leaf with enough equal tokens, else a new one."""
         tokens = _TOKEN.findall(masked)
         leaf = self.leaves.setdefault(self.path(tokens), [])
-        best, most = None, 0.0
-        for template in leaf:
-            same = sum(a == b for a, b in zip(template[0], tokens)) / max(1, len(tokens))
-            if same > most:
-                best, most = template, same
-        if best is None or most < self.similarity:
-            best = [tokens, 0]
-            leaf.append(best)
-        else:
-            best[0] = [a if a == b else "<*>" for a, b in zip(best[0], tokens)]
-        best[1] += times
-        return best
+        enough = self.similarity * len(tokens)
+        found = next((t for t in leaf if sum(map(eq, t.tokens, tokens)) >= enough), None)
+        if found is None:
+            found = Template(masked, tokens)
+            leaf.append(found)
+        found.join(tokens, times)
+        return found
 
     def templates(self) -> list[tuple[str, int]]:
-        return [(" ".join(t[0]), t[1]) for leaf in self.leaves.values() for t in leaf]
+        return [(" ".join(t.shown), t.messages) for leaf in self.leaves.values() for t in leaf]
 
 
-def classify(message: str) -> str | None:
-    """``slot``, ``unset``, ``filler``, ``error`` or ``script``; None for ordinary text."""
-    if SLOTS.search(message):
-        return "slot"
-    if UNSET.search(message):
-        return "unset"
+def template_kind(message: str) -> str | None:
+    """``filler``, ``script`` or ``error`` for a message of a template; None for ordinary text and for reports."""
     if FILLER.search(message) or _is_latin_filler(message) or _is_repeated(message):
         return "filler"
-    if REPORTS.search(message):
-        return None
-    if SCRIPTS.search(message):
-        return "script"
-    if ERRORS.search(message):
-        return "error"
+    for pattern, kind in ((SCRIPTS, "script"), (ERRORS, "error")):
+        if pattern.search(message):
+            return None if REPORTS.search(message) else kind
     return None
 
 
+def slot_kind(message: str) -> str | None:
+    """``slot`` or ``unset`` for a message with a slot or value that wasn't filled in."""
+    return "slot" if SLOTS.search(message) else "unset" if UNSET.search(message) else None
+
+
+def classify(message: str) -> str | None:
+    """``slot``, ``unset``, ``filler``, ``error`` or ``script`` for a single message; None for ordinary text."""
+    return slot_kind(message) or template_kind(message)
+
+
 class Inspector:
-    """Verdicts of messages, each of its own text, as patterns read digits and urls too; ``remember`` bounds the memory only."""
+    """Verdicts of single messages, each a template of its own, where no corpus is at hand; ``remember`` bounds the memory only."""
 
     def __init__(self, remember: int = 200_000):
         self.remember, self.verdicts = remember, {}
@@ -185,9 +224,7 @@ class Inspector:
         """(masked message, kind) of all messages of a content that are residue."""
         if not content:
             return []
-        if _DISTURBED.search(content):
-            content = unicodedata.normalize("NFKC", _INVISIBLE.sub("", content))
-        content = content.translate(_SIMPLE)
+        content = spelled(content)
         cued = any(map(content.__contains__, _CUES))
         out = []
         for message in _BREAK.split(content):
@@ -225,14 +262,139 @@ def inspector() -> Inspector:
     return _INSPECTOR[0]
 
 
-def residue(df: DataFrame, key: str = "id", content: str = "content") -> DataFrame:
-    """(key, kinds) of the rows whose content holds residue; ``kinds`` is a sorted array of what was found.
+def _masked(content: str) -> list[str]:
+    """The masked messages of a content."""
+    return [m for m in map(mask, _BREAK.split(spelled(content))) if m]
+
+
+def _count_messages(batches):
+    """(leaf, message, n): partial counts of the masked messages with the hash of their leaf."""
+    tree, held = TemplateTree(), Counter()
+
+    def out():
+        messages, n = list(held), list(held.values())
+        leaves = [xxhash.xxh64_intdigest("\x1f".join(map(str, tree.path(_TOKEN.findall(m)))).encode("utf-8", "surrogatepass")) - (1 << 63) for m in messages]
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(leaves, pa.int64()), pa.array([m.encode("utf-8", "replace").decode() for m in messages]), pa.array(n, pa.int64())], names=["leaf", "message", "n"])
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if text:
+                held.update(_masked(text))
+        if len(held) > _HELD:
+            yield out()
+    if held:
+        yield out()
 
-    Null, empty and blank contents give no row, repeated rows repeated results; whole contents are read,
-    however long; an empty table gives an empty result; other columns don't matter. Map only, no exchange.
+
+def _mine(batches):
+    """(leaf, message, n, at, kind, template) of the messages of templates with a verdict, from messages by leaf and frequency.
+
+    Only the templates of one leaf are held at a time, the messages pass by. A template's form with wildcards comes
+    with its first message, ``at`` tells the templates of a leaf apart.
+    """
+    leaf, tree, rows = None, None, []
+
+    def out():
+        columns = list(zip(*rows))
+        rows.clear()
+        types = (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=["leaf", "message", "n", "at", "kind", "first"])
+
+    for batch in batches:
+        for new, message, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if new != leaf:
+                leaf, tree = new, TemplateTree()
+            found = tree.add(message, n)
+            if found.kind:
+                rows.append((leaf, message, n, zlib.crc32(found.first.encode()) & 0x7FFFFFFF, found.kind, found.first))
+        if len(rows) > _HELD:
+            yield out()
+    if rows:
+        yield out()
+
+
+def mined(df: DataFrame, content: str = "content") -> DataFrame:
+    """(leaf, message, n, at, kind, first): the masked messages of the templates with a verdict, mined from all contents.
+
+    Messages are counted in the tasks and summed before they meet in their leaf, so copies of a page are one row
+    there. ``first`` is the message by which a template was classified; (leaf, at) names the template.
     """
     ship(df.sparkSession)
+    counted = spread(df.select(content)).mapInArrow(_count_messages, "leaf long, message string, n long")
+    counted = counted.repartition("leaf").groupBy("leaf", "message").agg(F.sum("n").alias("n"))
+    return checkpointed(counted.sortWithinPartitions("leaf", F.desc("n"), "message").mapInArrow(_mine, "leaf long, message string, n long, at int, kind string, first string"))
+
+
+def templates(df: DataFrame, content: str = "content") -> DataFrame:
+    """(template, kind, messages, forms): the templates with a verdict, by their most frequent message, how many messages
+    they have and in how many forms. An empty table gives an empty result."""
+    found = mined(df, content).groupBy("leaf", "at", "first", "kind").agg(F.sum("n").alias("messages"), F.count("*").alias("forms"))
+    return found.select(F.col("first").alias("template"), "kind", "messages", "forms")
+
+
+def _hash(message: str) -> int:
+    """What the built-in xxhash64 gives."""
+    h = xxhash.xxh64_intdigest(message.encode("utf-8", "replace"), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+_SLOT_CUES = _literals(SLOTS, UNSET)
+
+
+def _slots(content: str) -> set[str]:
+    """Kinds of slots and unset values in the messages of a content."""
+    text = spelled(content)
+    if not any(map(text.__contains__, _SLOT_CUES)):
+        return set()
+    return {kind for m in _BREAK.split(text) if (kind := slot_kind(m.strip()))}
+
+
+def residue(df: DataFrame, key: str = "id", content: str = "content", found: DataFrame | None = None) -> DataFrame:
+    """(key, kinds) of the rows whose content holds residue; ``kinds`` is a sorted array of what was found.
+
+    ``found`` is the result of :func:`mined` on the corpus that the rows are from, else it is made of ``df``. Null,
+    empty and blank contents give no row, repeated rows repeated results; whole contents are read, however long; an
+    empty table gives an empty result; other columns don't matter. Where at most ``SENT`` messages have a verdict
+    they are sent to every task, 8 bytes each; beyond that the messages of all contents are joined with them.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    found = mined(df, content) if found is None else found
+    kind_of = found.select("message", "kind").distinct()
+    few = kind_of.limit(SENT + 1).count() <= SENT
     rows = spread(df.select(key, content), key)
+    type_ = df.schema[key].dataType.simpleString()
+    if few:
+        sent = spark.sparkContext.broadcast({r.h: r.kind for r in kind_of.select(F.xxhash64("message").alias("h"), "kind").collect()})
+
+        def run(batches):
+            for batch in batches:
+                out = []
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    if text and (kinds := {k for m in _masked(text) if (k := sent.value.get(_hash(m)))} | _slots(text)):
+                        out.append((i, sorted(kinds)))
+                if out:
+                    at, kinds = zip(*out)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(kinds, pa.list_(pa.string()))], names=["key", "kinds"])
+
+        return rows.mapInArrow(run, f"key {type_}, kinds array<string>").withColumnRenamed("key", key)
+
+    def spell(batches):
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            messages = [[m.encode("utf-8", "replace").decode() for m in _masked(t)] for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(messages, pa.list_(pa.string())), pa.array([sorted(_slots(t)) for t in texts], pa.list_(pa.string()))], names=["key", "messages", "slots"])
+
+    said = rows.mapInArrow(spell, f"key {type_}, messages array<string>, slots array<string>")
+    by_template = said.select("key", F.explode("messages").alias("message")).join(kind_of, "message").select("key", "kind")
+    every = by_template.unionAll(said.select("key", F.explode("slots").alias("kind")))
+    return every.groupBy("key").agg(F.sort_array(F.collect_set("kind")).alias("kinds")).withColumnRenamed("key", key)
+
+
+def residue_alone(df: DataFrame, key: str = "id", content: str = "content") -> DataFrame:
+    """(key, kinds) as :func:`residue` has it for rows whose corpus isn't at hand: each message is its own template. Map only."""
+    ship(df.sparkSession)
 
     def run(batches):
         judge = inspector()
@@ -243,32 +405,4 @@ def residue(df: DataFrame, key: str = "id", content: str = "content") -> DataFra
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(kinds, pa.list_(pa.string()))], names=["key", "kinds"])
 
     kind = df.schema[key].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {kind}, kinds array<string>").withColumnRenamed("key", key)
-
-
-def templates(df: DataFrame, content: str = "content") -> DataFrame:
-    """(template, kind, messages): the templates of the messages with a verdict, and how often each occurs.
-
-    Each task mines its own tree; what it found is merged leaf by leaf, in sorted order, in a second tree.
-    """
-    ship(df.sparkSession)
-
-    def mine(batches):
-        judge, trees = inspector(), {}
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for masked, kind in judge.messages(text):
-                    trees.setdefault(kind, TemplateTree()).add(masked)
-        rows = [(kind, str(tree.path(_TOKEN.findall(t))), t, n) for kind, tree in trees.items() for t, n in tree.templates()]
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["kind", "leaf", "template", "messages"])
-
-    def merge(keys, table):
-        tree = TemplateTree()
-        for row in table.sort_by("template").to_pylist():
-            tree.add(row["template"], row["messages"])
-        found = tree.templates()
-        return pa.table({"template": [t for t, _ in found], "kind": [keys[0].as_py()] * len(found), "messages": pa.array([n for _, n in found], pa.int64())})
-
-    mined = spread(df.select(content)).mapInArrow(mine, "kind string, leaf string, template string, messages long")
-    return mined.groupBy("kind", "leaf", "template").agg(F.sum("messages").alias("messages")).groupBy("kind", "leaf").applyInArrow(merge, "template string, kind string, messages long")
+    return spread(df.select(key, content), key).mapInArrow(run, f"key {kind}, kinds array<string>").withColumnRenamed("key", key)
