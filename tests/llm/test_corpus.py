@@ -254,11 +254,15 @@ def test_ordinal_regression_orders_grades():
     assert list(np.argsort(w)) == [0, 1, 2, 3] and (np.diff(theta) > 0).all()
 
 
-def test_severity_with_few_ratings():
-    model = abuse.fit(["大盘缩量回踩，观望为主"] * 5 + ["你这种废物也配炒股"] * 5, [0] * 5 + [3] * 5)
-    texts = [abuse.joined(None, t) for t in ("跟混蛋说不通", "蠢 猪董秘", "you mor*n", "一对一裸聊视频", "裸卖空被查，杀估值杀到位了", "请文明发言，别动不动骂人废物", "piglet prices turned first", "", None)]
-    score = model.severity(texts)
+def test_severity_is_learned_from_ratings():
+    """Other words of a kind that was rated high are cases; nothing is before any rating, whatever its words."""
+    high = ["你这种废物也配炒股", "跟蠢货说不通", "一对一裸聊视频", "寂寞少妇包夜私聊", "董秘出门小心点", "祝庄家不得好死"]
+    texts = high * 6 + ["大盘缩量回踩，观望为主", *NEWS] * 10
+    model = abuse.fit(texts, [3] * 36 + [0] * (len(texts) - 36))
+    asked = [abuse.joined(None, t) for t in ("跟混蛋说不通", "蠢 猪董秘", "you mor*n", "学生妹兼职陪睡", "piglet prices turned first", "管理层的课题，观望为主", "", None)]
+    score = model.severity(asked)
     assert (score[:4] >= abuse.CASE_FROM).all() and (score[4:] < abuse.CASE_FROM).all()
+    assert (abuse.fit([], []).severity(asked) < abuse.CASE_FROM).all()
 
 
 def test_vantage_point_tree_is_exact():
