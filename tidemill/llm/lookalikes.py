@@ -1,8 +1,11 @@
 """Problem 3: one consistent form for text that looks the same but is written with different characters.
 
 Look-alike classes are the components of a union-find over strings and code points: compatibility forms,
-composed and decomposed letters, radicals, letters of other scripts. The member that the corpus uses most
-represents its class. Text is rewritten greedily, longest pattern first, by a multi-pattern automaton.
+composed and decomposed letters, radicals, letters of other scripts, spaces, invisible signs (one class with the
+empty string). The member that the corpus uses most represents its class; where the corpus has too little to tell,
+the form that Unicode keeps does. Text is rewritten greedily, longest pattern first, by one multi-pattern automaton;
+patterns that are right in some surroundings, such as letters of genuine words, joiners of emoji and indents, have a
+guard that is asked at each match.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import uuid
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from functools import lru_cache
 
@@ -41,6 +45,8 @@ RADICALS = {
 USUAL_WIDE = "！（），：；？［］｛｝～｜＂＇、。「」【】《》￥"
 #: Kinds of decomposition whose result looks the same.
 _SAME_LOOK = {"<wide>", "<narrow>", "<font>", "<small>", "<vertical>", ""}
+#: A form represents its class where the corpus has it so often, and so many times as often as all others of the class.
+LEAST, TIMES = 20, 3
 _MIN_SHARE = 1e-6  # a word is kept when it makes up this share of all words: at most a million words
 
 
@@ -110,6 +116,7 @@ _INVISIBLE = frozenset(
     + [chr(p) for p in range(0xA0, 0x110000) if not 0xD800 <= p < 0xE000 and unicodedata.category(chr(p)) == "Cf" and not 0x600 <= p <= 0x8E2 and p not in (0x110BD, 0x110CD)]
 )
 _WORD = re.compile(r"[A-Za-zÀ-ʯͰ-ԯԱ-ֆᎠ-Ᏽᴀ-ᶿⅠ-ⅿＡ-Ｚａ-ｚ̀-ͯ]+")
+_UNSEEN = _INVISIBLE | _SPACES
 _DIGITS = re.compile(r"(?<=[0-9０-９])(?:[OoОоΟοՕօ]|[lIІӏΙ|])(?=[0-9０-９])")
 
 
@@ -122,24 +129,34 @@ class Rewriter:
         classes = Classes()
         for a, b in _pairs():
             classes.union(a, b)
+        for c in _SPACES:
+            classes.union(c, " ")
+        for c in _INVISIBLE:
+            classes.union(c, "")
         self.counts, self.automaton, self.map = counts, ahocorasick.Automaton(), {}
         for group in classes.groups():
-            # ASCII and forms that Unicode keeps come first; among forms of equal standing the corpus decides
-            best = min(group, key=lambda s: (not s.isascii(), s in RADICALS or unicodedata.normalize("NFKC", s) != s, -counts.get(s, 0), len(s), s))
-            for s in group:
-                if s != best and not s.isascii() and s not in _OTHER_SCRIPT:
-                    self.map[s] = best
+            best = self._representative(group)
+            self.map |= {s: best for s in group if s != best and s and not s.isascii() or s in _INVISIBLE}
         for s, best in self.map.items():
-            self.automaton.add_word(s, (len(s), best))
+            guard = self._in_word if s in _OTHER_SCRIPT else self._no_indent if s == "\u3000" else self._joins_nothing if s in _INVISIBLE else None
+            self.automaton.add_word(s, (len(s), best, guard))
         self.automaton.make_automaton()
         # bits of code points: 1 first of a pattern, 2 invisible or a space, 4 a letter of another script, 8 a digit
         self.bits = np.zeros(0x110000, np.uint8)
-        self.bits[[ord(s[-1]) for s in self.map]] |= 1
+        self.bits[[ord(s[-1]) for s in self.map if s not in _OTHER_SCRIPT and s not in _INVISIBLE and s not in _SPACES]] |= 1
         self.bits[[ord(c) for c in _INVISIBLE | _SPACES]] |= 2
         self.bits[[ord(c) for c in _OTHER_SCRIPT]] |= 4
         self.bits[list(range(48, 58))] |= 8
         self.bits[[ord(c) for c in "OoОоΟοՕօlIІӏΙ|"]] |= 16
 
+    def _representative(self, group: list[str]) -> str:
+        """The form that the corpus uses most by far, else ASCII before what Unicode keeps before all others."""
+        n = {s: self.counts.get(s, 0) for s in group}
+        best = max(group, key=lambda s: (n[s], s))
+        if n[best] >= LEAST and n[best] >= TIMES * (sum(n.values()) - n[best]) and not (best in _INVISIBLE or best in _OTHER_SCRIPT or best in _SPACES):
+            return best
+        return min(group, key=lambda s: (not s.isascii(), s in RADICALS or unicodedata.normalize("NFKC", s) != s, s in _INVISIBLE, -n[s], len(s), s))
+
     def candidates(self, texts: list[str]) -> np.ndarray:
         """For each text whether anything in it can need rewriting. Array operations only."""
         codes = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -157,70 +174,64 @@ class Rewriter:
         """(text in its consistent form, changes). Nulls and empty texts have none."""
         if not text:
             return text, 0
-        text, changes = self._unseen(text)
-        out, at = [], 0
-        for end, (size, best) in self.automaton.iter_long(text):
-            begin = end - size + 1
-            out += [text[at:begin], best]
-            at = end + 1
-            changes += 1
-        text = "".join([*out, text[at:]])
+        # what can't be seen and spaces first, then what they parted
+        text, changes = (text, 0) if _UNSEEN.isdisjoint(text) else self._pass(text, True)
+        text, more = self._pass(text, False)
         n = 0
 
-        def word(m: re.Match) -> str:
-            nonlocal n
-            new = self._word(m.group())
-            n += new != m.group()
-            return new
-
-        text = _WORD.sub(word, text)
-
         def digit(m: re.Match) -> str:
             nonlocal n
             n += 1
             return "0" if m.group() in "OoОоΟοՕօ" else "1"
 
-        return _DIGITS.sub(digit, text), changes + n
+        return _DIGITS.sub(digit, text), changes + more + n
 
-    def _word(self, word: str) -> str:
-        """A word with letters of several scripts, or one that the corpus knows in Latin letters, in Latin letters."""
+    def _pass(self, text: str, unseen: bool) -> tuple[str, int]:
+        """The text with its matches rewritten: those of spaces and invisible signs, or all others."""
+        out, at, changes, words = [], 0, 0, []
+        for end, (size, best, guard) in self.automaton.iter_long(text):
+            begin = end - size + 1
+            if (size == 1 and text[end] in _UNSEEN) != unseen or guard and not guard(text, begin, words):
+                continue
+            out += [text[at:begin], best]
+            at = end + 1
+            changes += 1
+        if not changes:
+            return text, 0
+        text = "".join([*out, text[at:]])
+        return unicodedata.normalize("NFC", text) if words else text, changes
+
+    def _in_word(self, text: str, at: int, words: list) -> bool:
+        """Whether a letter of another script stands in a word that is written in Latin letters: with some of them, with
+        letters of several scripts, or one that the corpus knows in Latin letters. Words of a script's own stay."""
+        if not words:
+            words += [(m.start(), m.end(), self._latin(m.group())) for m in _WORD.finditer(text)]
+        return words[bisect_right(words, at, key=lambda w: w[0]) - 1][2]
+
+    def _latin(self, word: str) -> bool:
         other = [c for c in word if c in _OTHER_SCRIPT]
         if not other or len(word) < 2:
-            return word
-        latin = sum("a" <= c.lower() <= "z" or "À" <= c <= "ɏ" for c in word)
-        marks = sum("̀" <= c <= "ͯ" for c in word)
-        if latin + marks + len(other) < len(word):
-            return word  # letters of its own script that look like no Latin ones
+            return False
+        plain = "".join(c if c in _OTHER_SCRIPT else self.map.get(c, c) for c in word)
+        latin = sum("a" <= c.lower() <= "z" or "À" <= c <= "ɏ" for c in plain)
+        marks = sum("̀" <= c <= "ͯ" for c in plain)
+        if latin + marks + sum(c in _OTHER_SCRIPT for c in plain) < len(plain):
+            return False  # letters of its own script that look like no Latin ones
         new = "".join(_LATIN_OF.get(c, c) for c in word)
         scripts = {unicodedata.name(c, "?").split()[0] for c in other}
-        if latin or len(scripts) > 1 or self.counts.get(new, 0) > self.counts.get(word, 0):
-            return unicodedata.normalize("NFC", new)
-        return word
-
-    def _unseen(self, text: str) -> tuple[str, int]:
-        """Without invisible characters, with ordinary spaces; joiners of emoji and indents of paragraphs stay."""
-        if not any(c in _INVISIBLE or c in _SPACES for c in text):
-            return text, 0
-        out, changes = [], 0
-        for i, c in enumerate(text):
-            if c in _SPACES:
-                if c == "　" and (not out or out[-1] in "\n\r　"):
-                    out.append(c)
-                else:
-                    out.append(" ")
-                    changes += 1
-            elif c in _INVISIBLE:
-                before = text[i - 1] if i else ""
-                after = text[i + 1 : i + 2]
-                if c == "‍" and _pictured(before) and _pictured(after) or c == "️" and (_pictured(before) or after == "⃣"):
-                    out.append(c)
-                elif 0xE0000 <= ord(c) <= 0xE007F and before and (_pictured(before) or ord(before) >= 0xE0000):
-                    out.append(c)
-                else:
-                    changes += 1
-            else:
-                out.append(c)
-        return "".join(out), changes
+        return bool(latin) or len(scripts) > 1 or self.counts.get(new, 0) > self.counts.get(word, 0)
+
+    def _no_indent(self, text: str, at: int, words: list) -> bool:
+        """An ideographic space indents a paragraph when nothing but its like stands before it in its line."""
+        line = max(text.rfind("\n", 0, at), text.rfind("\r", 0, at)) + 1
+        return any(c != "\u3000" and c not in _INVISIBLE for c in text[line:at])
+
+    def _joins_nothing(self, text: str, at: int, words: list) -> bool:
+        """Joiners and tags of emoji have their place."""
+        c, before, after = text[at], text[at - 1] if at else "", text[at + 1 : at + 2]
+        if c == "\u200d" and _pictured(before) and _pictured(after) or c == "\ufe0f" and (_pictured(before) or after == "\u20e3"):
+            return False
+        return not (0xE0000 <= ord(c) <= 0xE007F and before and (_pictured(before) or ord(before) >= 0xE0000))
 
 
 def _pictured(char: str) -> bool:
