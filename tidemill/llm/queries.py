@@ -31,6 +31,12 @@ def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncation_report(social, truncation.truncated(social))
 
 
+def p2_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many cut values each way of knowing gives."""
+    social = table(spark, sf_dir, "raw_social", "id", "summary", "content")
+    return truncation.truncated(social).distinct().groupBy("field", "route").agg(F.count("*").alias("values"))
+
+
 def _contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(table_name, id, content) of both tables of records."""
     parts = (table(spark, sf_dir, name, "id", "content").select(F.lit(name).alias("table_name"), "id", "content") for name in ("raw_media", "raw_social"))
@@ -130,7 +136,7 @@ def p9_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p6_found, p6_groups, p6_pairs, p7_ids, p8_packed, p8_report, p9_found, p9_subjects, p9_composition)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_rates, p2_routes, p3_found, p3_unified, p4_found, p4_templates, p5_found, p5_scores, p5_rates, p6_found, p6_groups, p6_pairs, p7_ids, p8_packed, p8_report, p9_found, p9_subjects, p9_composition)}
 
 
 def oracle_sql() -> dict[str, str]:

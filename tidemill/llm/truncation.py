@@ -2,7 +2,8 @@
 
 Two searches over all distinct values of all fields. Sorted by their text, a value that is a strict prefix of
 a longer copy stands directly before a value that starts with it, and the copy shows how the text goes on.
-For the others the same question is asked of their ends: hashes of fixed-length endings meet the same strings
+Values without one are cut where their end is a sign that must go on or what a cut leaves behind. For the others
+the same question is asked of their ends: hashes of fixed-length endings meet the same strings
 inside all other values, and tell how often a sentence ends there.
 """
 
@@ -143,19 +144,20 @@ def _count_endings(batches):
 class _Waiting:
     """A value whose end is open, until a longer copy shows how it goes on."""
 
-    __slots__ = ("value", "core", "kind")
+    __slots__ = ("value", "core", "kind", "sure")
 
     def __init__(self, value: str):
         self.value, (self.core, self.kind) = value, shape(value)
+        self.sure = self._sure()
 
-    def surely(self) -> bool | None:
-        """Whether the value is cut, where its own end tells."""
+    def _sure(self) -> bool | None:
+        """Whether the value is cut, where its own end tells; a longer copy is asked for all the same, if it may be."""
         if self.kind == "final" or not self.core.strip() or inspector().messages(_SENTENCES.split(self.value.rstrip())[-1]):
             return False
         return True if self.kind in ("open", "markup", "lost", "more") else None
 
-    def row(self, keys: tuple, sure: bool | None, seam: str | None = None) -> tuple:
-        return *keys, self.kind, sure, plain(self.core)[-max(ENDINGS) :], seam
+    def row(self, keys: tuple, copy: bool = False, seam: str | None = None) -> tuple:
+        return *keys, self.kind, copy or self.sure, copy, plain(self.core)[-max(ENDINGS) :], seam
 
 
 def _inspect(batches):
@@ -173,18 +175,17 @@ def _inspect(batches):
         for value, one, two in zip(*(c.to_pylist() for c in batch.columns)):
             if first is None:
                 first = value
-                rows.append((one, two, "first", None, "", value))
+                rows.append((one, two, "first", None, False, "", value))
             waiting = _meet(value, waiting, rows)
             new = _Waiting(value)
-            sure = new.surely()
-            if sure is None:
-                waiting.append((new, (one, two)))
+            if new.sure is False:
+                rows.append(new.row((one, two)))
             else:
-                rows.append(new.row((one, two), sure))
+                waiting.append((new, (one, two)))
         if len(rows) > 20_000:
             yield _inspected(rows, here)
             rows.clear()
-    rows += [new.row(keys, None, new.value) for new, keys in waiting]
+    rows += [new.row(keys, seam=new.value) for new, keys in waiting]
     if rows:
         yield _inspected(rows, here)
 
@@ -200,26 +201,26 @@ def _meet(value: str, waiting: list[tuple[_Waiting, tuple]], rows: list[tuple])
     still = []
     for new, keys in waiting:
         if not value.startswith(new.core):
-            rows.append(new.row(keys, None))
+            rows.append(new.row(keys))
             continue
         if _reads_on(value, new.core):
-            rows.append(new.row(keys, True))
+            rows.append(new.row(keys, copy=True))
         else:
             still.append((new, keys))
     return still
 
 
-_INSPECTED = "one long, two int, kind string, sure boolean, " + ", ".join(f"e{k} long" for k in ENDINGS) + ", part int, seam string"
+_INSPECTED = "one long, two int, kind string, sure boolean, copy boolean, " + ", ".join(f"e{k} long" for k in ENDINGS) + ", part int, seam string"
 
 
 def _inspected(rows: list[tuple], part: int) -> pa.RecordBatch:
-    one, two, kind, sure, tails, seams = zip(*rows)
+    one, two, kind, sure, copy, tails, seams = zip(*rows)
     endings = _endings(list(tails))
     return pa.RecordBatch.from_arrays(
-        [pa.array(one, pa.int64()), pa.array(two, pa.int32()), pa.array(kind, pa.string()), pa.array(sure, pa.bool_())]
+        [pa.array(one, pa.int64()), pa.array(two, pa.int32()), pa.array(kind, pa.string()), pa.array(sure, pa.bool_()), pa.array(copy, pa.bool_())]
         + [pa.array([e[k] for e in endings], pa.int64()) for k in ENDINGS]
         + [pa.array(np.full(len(rows), part, np.int32)), pa.array(seams, pa.string())],
-        names=["one", "two", "kind", "sure", *(f"e{k}" for k in ENDINGS), "part", "seam"],
+        names=["one", "two", "kind", "sure", "copy", *(f"e{k}" for k in ENDINGS), "part", "seam"],
     )
 
 
@@ -236,7 +237,7 @@ def _settle(seams: list[tuple]) -> tuple[list[tuple], list[tuple[_Waiting, tuple
             waiting = []
         else:
             waiting.append((_Waiting(text), (one, two)))
-    return rows + [new.row(keys, None) for new, keys in waiting], met
+    return rows + [new.row(keys) for new, keys in waiting], met
 
 
 def _ask(waiting: list[tuple[str, str]]):
@@ -252,7 +253,8 @@ def _ask(waiting: list[tuple[str, str]]):
 
 
 def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), key: str = "id") -> DataFrame:
-    """(key, field, kind) of the values that end inside a sentence; ``kind`` is how they end.
+    """(key, field, kind, route) of the values that end inside a sentence; ``kind`` is how they end, ``route`` how that is
+    known: a longer ``copy`` goes on, a ``sign`` at the end must go on, or sentences seldom end with these ``endings``.
 
     Null, empty and blank values are never cut. Repeated rows give repeated results. Values are compared and
     counted whole, over all rows; copies count once. An empty table gives an empty result.
@@ -273,9 +275,9 @@ def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), k
     rows, waiting = _settle(list(map(tuple, seams)))
     if waiting:
         longer = {r.at for r in distinct.mapInArrow(_ask([(new.value, new.core) for new, _ in waiting]), "at int").distinct().collect()}
-        rows += [new.row(keys, True if i in longer else None) for i, (new, keys) in enumerate(waiting)]
-    settled = [(*r[:4], *_endings([r[4]])[0].values()) for r in rows]
-    columns = ["one", "two", "kind", "sure", *(f"e{k}" for k in ENDINGS)]
+        rows += [new.row(keys, copy=i in longer) for i, (new, keys) in enumerate(waiting)]
+    settled = [(*r[:5], *_endings([r[5]])[0].values()) for r in rows]
+    columns = ["one", "two", "kind", "sure", "copy", *(f"e{k}" for k in ENDINGS)]
     inspected = inspected.where("seam is null").select(*columns)
     if settled:
         inspected = inspected.unionAll(spark.createDataFrame(settled, inspected.schema))
@@ -294,7 +296,8 @@ def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), k
         .when(F.col("kind") == "dots", F.coalesce(F.col("final_share") < MAX_FINAL, F.lit(True)))
         .otherwise(F.coalesce(F.col("final_share") < MAX_FINAL, F.lit(False))),
     )
-    return values.select(key, "field", *keys).join(decided.where("cut").select("one", "two", "kind"), ["one", "two"]).select(key, "field", "kind")
+    route = F.when(F.col("copy"), "copy").when(F.col("sure"), "sign").otherwise("endings").alias("route")
+    return values.select(key, "field", *keys).join(decided.where("cut").select("one", "two", "kind", route), ["one", "two"]).select(key, "field", "kind", "route")
 
 
 def truncation_report(df: DataFrame, cut: DataFrame, by: str = "channel", claim: str = "social_body_quality", fields: tuple[str, ...] = ("summary", "content"), key: str = "id") -> DataFrame:
