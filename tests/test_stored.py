@@ -86,3 +86,23 @@ def test_pages_by_pattern_and_years_of_columns():
     times = [r["context"] for r in html.forum_rows(row.format("/p") + row.format("//caifuhao.example/news/20230501x") + row.format("/q"))]
     assert times == ["01-09 08:00", "2023-01-09 08:00", "2023-01-09 08:00"]
     assert html.page_data('<script id="__NEXT_DATA__">{"props": 3}</script>') is None
+
+
+def test_merges_write_only_the_parts_they_touch(spark, tmp_path):
+    folder, kind = str(tmp_path / "t"), "k int, v string, created_at timestamp, updated_at timestamp"
+    empty = spark.createDataFrame([], kind)
+    first = spark.range(200).select(F.col("id").cast("int").alias("k"), F.lit("a").alias("v"))
+    assert tables.merge_snapshot(first, folder, ["k"], F.current_timestamp(), empty, parts=16) == 16
+    assert tables.merge_snapshot(first.where("k = 7").withColumn("v", F.lit("b")), folder, ["k"], F.current_timestamp(), empty, parts=16) == 1
+    assert tables.merge_snapshot(first.where("k < 0"), folder, ["k"], F.current_timestamp(), empty, parts=16) == 0
+    got = {r.k: r.v for r in tables.read_snapshot(spark, folder).collect()}
+    assert len(got) == 200 and got[7] == "b" and got[8] == "a"
+    # a mark that its writer left empty doesn't hide the last whole snapshot, nor stop the next writer
+    assert tables.claim_once(spark, f"{folder}/marks", "3")
+    assert tables.read_snapshot(spark, folder).count() == 200
+    assert tables.merge_snapshot(first.where("k = 9").withColumn("v", F.lit("c")), folder, ["k"], F.current_timestamp(), empty, parts=16) == 1
+    # a table that was written whole is divided
+    whole = str(tmp_path / "w")
+    tables.write_snapshot(first.withColumns({"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()}), whole)
+    tables.merge_snapshot(first.where("k = 1").withColumn("v", F.lit("z")), whole, ["k"], F.current_timestamp(), empty, parts=4)
+    assert {r.v for r in tables.read_snapshot(spark, whole).where("k = 1").collect()} == {"z"} and tables.read_snapshot(spark, whole).count() == 200

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import codes
 from tidemill.functions.text import nonempty, strip, text
+from tidemill.runtime import checkpointed
 
 # The stored tables. Columns of records in their order; what a null means where it means something.
 _RECORD = "id string, task_id string, market string, ticker string, published_at timestamp, source_type string, channel string, source_name string, title string, summary string, content string, url string, origin_keyword_type string, is_content_relevant boolean, content_relevance_reason string"
@@ -70,39 +72,71 @@ def _filesystem(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def _exists_error(error: Exception) -> bool:
-    return "FileAlreadyExists" in str(error)
+def _marks(spark: SparkSession, folder: str) -> tuple[int, dict[str, str]]:
+    """(the highest number of a snapshot, {part: folder} of the last whole one). A mark that a writer left empty is none."""
+    system, path = _filesystem(spark, f"{folder}/marks")
+    if not system.exists(path):
+        return 0, {}
+    numbers = sorted(int(s.getPath().getName()) for s in system.listStatus(path))
+    for number in reversed(numbers):
+        stream = system.open(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/marks/{number}"))
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        if text.endswith("\n"):
+            return numbers[-1], json.loads(text)
+    return numbers[-1] if numbers else 0, {}
+
+
+def _publish(spark: SparkSession, folder: str, number: int, parts: dict[str, str]) -> None:
+    """Make a snapshot the current one: one small file that is created once, so of two writers of a number one fails."""
+    system, path = _filesystem(spark, f"{folder}/marks/{number}")
+    if not claim_once(spark, f"{folder}/marks", str(number)):
+        raise RuntimeError(f"another writer made snapshot {number} of {folder}")
+    stream = system.create(path, True)
+    stream.write(bytearray((json.dumps(parts) + "\n").encode()))
+    stream.close()
 
 
 def write_snapshot(df: DataFrame, folder: str) -> str:
-    """Write a table as a new snapshot beside the old ones, and then an empty mark of its number; the highest mark is
-    the current one, so readers never see half a table. A mark is created once: of two writers one fails."""
-    spark = df.sparkSession
-    name = f"snapshot-{uuid.uuid4().hex}"
-    number = _current(spark, folder)[0] + 1
+    """Write a table as a new snapshot beside the old ones and then its mark, so readers never see half a table."""
+    spark, name = df.sparkSession, f"snapshot-{uuid.uuid4().hex}"
+    number = _marks(spark, folder)[0] + 1
     df.write.parquet(f"{folder}/{name}")
-    system, path = _filesystem(spark, f"{folder}/marks/{number:012d}-{name}")
-    if not claim_once(spark, f"{folder}/marks", f"{number:012d}"):
-        raise RuntimeError(f"another writer made snapshot {number} of {folder}")
-    system.create(path, False).close()
+    _publish(spark, folder, number, {"": f"{folder}/{name}"})
     return name
 
 
-def _current(spark: SparkSession, folder: str) -> tuple[int, str | None]:
-    system, path = _filesystem(spark, f"{folder}/marks")
-    if not system.exists(path):
-        return 0, None
-    named = [n for s in system.listStatus(path) if "-" in (n := s.getPath().getName())]
-    last = max(named, default=None)
-    return (int(last.split("-", 1)[0]), last.split("-", 1)[1]) if last else (0, None)
-
-
 def has_snapshot(spark: SparkSession, folder: str) -> bool:
-    return _current(spark, folder)[1] is not None
+    return bool(_marks(spark, folder)[1])
 
 
 def read_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{_current(spark, folder)[1]}")
+    return spark.read.parquet(*sorted(_marks(spark, folder)[1].values()))
+
+
+def merge_snapshot(batch: DataFrame, folder: str, keys: list[str], now: Column, empty: DataFrame, parts: int = 64) -> int:
+    """:func:`upsert` of a batch into the table under ``folder``, kept in ``parts`` by a hash of its keys: only the parts
+    that the batch touches are read and written again, the others go on into the new snapshot as they are. Gives
+    how many parts were written. A table that was written whole is divided at its first merge."""
+    spark, name = batch.sparkSession, f"snapshot-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+    batch = checkpointed(batch.withColumn("_part", part))
+    touched = [str(r[0]) for r in batch.select("_part").distinct().collect()]  # at most ``parts``
+    number, held = _marks(spark, folder)
+    if "" in held:
+        touched = [str(i) for i in range(parts)]
+        stored, held = spark.read.parquet(held[""]), {}
+    else:
+        paths = [held[p] for p in touched if p in held]
+        stored = spark.read.parquet(*paths).select(*empty.columns) if paths else empty
+    if not touched:
+        return 0
+    merged = upsert(stored, batch.drop("_part"), keys, now).withColumn("_part", part)
+    merged.repartition("_part").write.partitionBy("_part").parquet(f"{folder}/{name}")
+    system, _ = _filesystem(spark, folder)
+    new = {p: at for p in touched if system.exists(spark._jvm.org.apache.hadoop.fs.Path(at := f"{folder}/{name}/_part={p}"))}
+    _publish(spark, folder, number + 1, held | new)
+    return len(new)
 
 
 def claim_once(spark: SparkSession, folder: str, name: str) -> bool:
@@ -111,8 +145,8 @@ def claim_once(spark: SparkSession, folder: str, name: str) -> bool:
     try:
         system.create(path, False).close()
         return True
-    except Exception as error:  # the gateway wraps Java's exception
-        if _exists_error(error) or system.exists(path):
+    except Exception:  # the gateway wraps Java's exception
+        if system.exists(path):
             return False
         raise
 

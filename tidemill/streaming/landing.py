@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemill.operators.tables import has_snapshot, prepared_batch, read_snapshot, upsert, write_snapshot
+from tidemill.operators.tables import merge_snapshot, prepared_batch
 
 
 def payload_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,16 +18,15 @@ def payload_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def merge_stream(items: DataFrame, folder: str, checkpoint: str, empty: Callable[[], DataFrame], keys: list[str], **stamps: str) -> StreamingQuery:
-    """Merge each micro-batch of list rows into the snapshots under ``folder``; runs until what has landed is read.
+    """Merge each micro-batch of list rows into the table under ``folder``; runs until what has landed is read.
 
-    A batch that is delivered again after a failure overwrites the same keys, so the stored table stays the same.
+    Of the stored table only the parts that a batch touches are read and written. A batch that is delivered again
+    after a failure overwrites the same keys, so the table stays the same.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        stored = read_snapshot(spark, folder) if has_snapshot(spark, folder) else empty()
         ready = prepared_batch(batch.withColumn("_o", F.struct("as_of", "ordinal")), "_o", **stamps)
-        write_snapshot(upsert(stored, ready, keys, F.current_timestamp()), folder)
+        merge_snapshot(ready, folder, keys, F.current_timestamp(), empty())
 
     return items.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
