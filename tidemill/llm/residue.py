@@ -1,7 +1,7 @@
 """Problem 4: template residue, filler and error-page text within and instead of content.
 
 Messages are the lines and sentences of a content, with their urls, ids and numbers masked. A prefix tree of fixed
-depth (number of tokens, first tokens) mines templates from the messages of all contents: in a leaf the messages
+depth (number of tokens, first tokens, last one) mines templates from the messages of all contents: in a leaf the messages
 come by frequency, each joins the first template of which it shares enough tokens or begins a new one. A template
 is classified once, by its most frequent message, and all its messages have its verdict. Unfilled slots and unset
 values are searched for in each content by themselves, as they stand inside ordinary sentences. The tree sees every
@@ -17,6 +17,7 @@ import zlib
 from collections import Counter
 from operator import eq
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -25,11 +26,13 @@ from pyspark.sql import functions as F
 from tidemill.runtime import checkpointed, ship, spread
 
 #: Depth of the tree in tokens, and the share of equal tokens by which a message joins a template.
-DEPTH, SIMILARITY = 3, 0.7
+DEPTH, SIMILARITY = 6, 0.7
 #: Messages with a verdict that are sent to every task; more of them are joined.
 SENT = 1_000_000
 #: Messages that a task counts before it hands them on.
 _HELD = 200_000
+#: Templates of a leaf that are compared one by one.
+_FEW = 8
 
 # ---- fixed values: what templates, servers and scripts leave behind ------------------------------------------
 
@@ -117,6 +120,8 @@ def _literals(*patterns: re.Pattern) -> list[str]:
     return sorted(c for c in out if not any(d in c for d in out if d != c))
 
 
+#: One of the literals that a match of the patterns of templates needs; derived from the patterns, so nothing is lost.
+_SIGN = re.compile("|".join(map(re.escape, _literals(FILLER, ERRORS, SCRIPTS))))
 #: Literals of which every message with a verdict holds one, but for repeated units and Latin filler.
 _CUES = _literals(SLOTS, UNSET, FILLER, ERRORS, SCRIPTS)
 #: Traditional characters of the patterns and their simplified forms, pairwise.
@@ -124,33 +129,40 @@ _SIMPLE = str.maketrans(
     "頁網絡務錯誤數過驗證塊腳瀏覽請開啟關訪問帳戶維護載參級標題繼續顯頻異點擊試錄會話寫輸處輯審檢測權刪內須為發後這佔預樣許攔換網動拖從門們兩標編",
     "页网络务错误数过验证块脚浏览请开启关访问帐户维护载参级标题继续显频异点击试录会话写输处辑审检测权删内须为发后这占预样许拦换网动拖从门们两标编",
 )
+_TRADITIONAL = re.compile("[" + "".join(map(chr, _SIMPLE)) + "]")
 _DISTURBED = re.compile("[\u00ad\u180e\u200b-\u200f\u2060-\u2064\ufe0e\ufeff\uff10-\uff19\uff21-\uff3a\uff41-\uff5a\u2e80-\u2fd5\uf900-\ufaff]")
 _INVISIBLE = re.compile("[\u00ad\u180e\u200b-\u200f\u2060-\u2064\ufe0e\ufeff]")
 
 
 _BREAK = re.compile(r"(?<=[。！？!?\n])|(?<=\. )")
-_MASKS = ((re.compile(r"https?://\S+"), "<url>"), (re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{4,}\b"), "<id>"), (re.compile(r"\d+(?:\.\d+)?"), "<n>"))
+_MASKS = ((re.compile(r"https?://[^\s。！？!?]+"), "<url>"), (re.compile(r"\b(?=[0-9a-f]*\d)[0-9a-f]{4,}\b"), "<id>"), (re.compile(r"\d+(?:\.\d+)?"), "<n>"))
 _TOKEN = re.compile(r"<\w+>|[A-Za-z_]+|[㐀-鿿]|\S")
 #: Digits that tell what a message is: status codes before their name, units over and over.
 _TELLING = re.compile(r"\b[45]\d\d\b(?=\s*[-:]?\s*[A-Z])|(?<![\d.])(\d{1,4})\1{3,}\d{0,3}(?![\d.])")
+_MAY_TELL = re.compile(r"\d{4}|\b[45]\d\d\W{0,4}[A-Z]")
 _AWAY, _BACK = (str.maketrans(x, y) for x, y in (("0123456789", "\ue000\ue001\ue002\ue003\ue004\ue005\ue006\ue007\ue008\ue009"), ("\ue000\ue001\ue002\ue003\ue004\ue005\ue006\ue007\ue008\ue009", "0123456789")))
 
 
-def mask(message: str) -> str:
-    """The message with its variable parts, urls, ids and numbers, masked; digits that tell what it is stay."""
-    kept = _TELLING.search(message) is not None
+def masked(content: str) -> str:
+    """A content with the variable parts of its messages, urls, ids and numbers, masked; digits that tell what a message is stay."""
+    kept = _MAY_TELL.search(content) and _TELLING.search(content)
     if kept:
-        message = _TELLING.sub(lambda m: m.group().translate(_AWAY), message)
+        content = _TELLING.sub(lambda m: m.group().translate(_AWAY), content)
     for pattern, name in _MASKS:
-        message = pattern.sub(name, message)
-    return " ".join((message.translate(_BACK) if kept else message).split())
+        content = pattern.sub(name, content)
+    return content.translate(_BACK) if kept else content
+
+
+def mask(message: str) -> str:
+    """A message with its variable parts masked and its white space in one form."""
+    return " ".join(masked(message).split())
 
 
 def spelled(content: str) -> str:
     """A content without signs that only hide what it says, in simplified characters as far as the patterns know them."""
     if _DISTURBED.search(content):
         content = unicodedata.normalize("NFKC", _INVISIBLE.sub("", content))
-    return content.translate(_SIMPLE)
+    return content.translate(_SIMPLE) if _TRADITIONAL.search(content) else content
 
 
 class Template:
@@ -168,22 +180,56 @@ class Template:
             self.shown = [a if a == b else "<*>" for a, b in zip(self.shown, tokens)]
 
 
+class Leaf:
+    """The templates of one path, in the order in which they came."""
+
+    __slots__ = ("templates", "numbers", "rows")
+
+    def __init__(self):
+        self.templates: list[Template] = []
+        self.numbers: dict[str, int] = {}
+        self.rows = np.zeros((0, 0), np.int32)
+
+    def _row(self, tokens: list[str]) -> list[int]:
+        return [self.numbers.setdefault(t, len(self.numbers)) for t in tokens]
+
+    def find(self, tokens: list[str], enough: float) -> Template | None:
+        """The first template of which so many tokens are equal; all at once where there are many."""
+        n = len(self.templates)
+        if n <= _FEW:
+            return next((t for t in self.templates if sum(map(eq, t.tokens, tokens)) >= enough), None)
+        hits = (self.rows[:n] == np.array(self._row(tokens), np.int32)).sum(1) >= enough
+        at = int(hits.argmax())
+        return self.templates[at] if hits[at] else None
+
+    def append(self, template: Template) -> None:
+        self.templates.append(template)
+        n = len(self.templates)
+        if n > _FEW:
+            if n > len(self.rows):
+                rows = np.zeros((2 * n, len(template.tokens)), np.int32)
+                rows[: n - 1] = self.rows[: n - 1] if len(self.rows) else [self._row(t.tokens) for t in self.templates[:-1]]
+                self.rows = rows
+            self.rows[n - 1] = self._row(template.tokens)
+
+
 class TemplateTree:
-    """A prefix tree of fixed depth: number of tokens, then the first ``depth`` tokens, then the templates of a leaf."""
+    """A prefix tree of fixed depth: number of tokens, the first ``depth`` and the last one, then the templates of a leaf."""
 
     def __init__(self, depth: int = DEPTH, similarity: float = SIMILARITY):
         self.depth, self.similarity = depth, similarity
-        self.leaves: dict[tuple, list[Template]] = {}
+        self.leaves: dict[tuple, Leaf] = {}
 
     def path(self, tokens: list[str]) -> tuple:
-        return (len(tokens), *tokens[: self.depth])
+        return (len(tokens), *tokens[: self.depth], *tokens[-1:])
 
     def add(self, masked: str, times: int = 1) -> Template:
         """The template that a message joins: the first of its leaf with enough equal tokens, else a new one."""
         tokens = _TOKEN.findall(masked)
-        leaf = self.leaves.setdefault(self.path(tokens), [])
-        enough = self.similarity * len(tokens)
-        found = next((t for t in leaf if sum(map(eq, t.tokens, tokens)) >= enough), None)
+        path = self.path(tokens)
+        if (leaf := self.leaves.get(path)) is None:
+            leaf = self.leaves[path] = Leaf()
+        found = leaf.find(tokens, self.similarity * len(tokens))
         if found is None:
             found = Template(masked, tokens)
             leaf.append(found)
@@ -191,12 +237,16 @@ class TemplateTree:
         return found
 
     def templates(self) -> list[tuple[str, int]]:
-        return [(" ".join(t.shown), t.messages) for leaf in self.leaves.values() for t in leaf]
+        return [(" ".join(t.shown), t.messages) for leaf in self.leaves.values() for t in leaf.templates]
 
 
 def template_kind(message: str) -> str | None:
     """``filler``, ``script`` or ``error`` for a message of a template; None for ordinary text and for reports."""
-    if FILLER.search(message) or _is_latin_filler(message) or _is_repeated(message):
+    if _is_latin_filler(message) or _is_repeated(message):
+        return "filler"
+    if not _SIGN.search(message):
+        return None
+    if FILLER.search(message):
         return "filler"
     for pattern, kind in ((SCRIPTS, "script"), (ERRORS, "error")):
         if pattern.search(message):
@@ -262,9 +312,9 @@ def inspector() -> Inspector:
     return _INSPECTOR[0]
 
 
-def _masked(content: str) -> list[str]:
-    """The masked messages of a content."""
-    return [m for m in map(mask, _BREAK.split(spelled(content))) if m]
+def _messages(spelled_content: str) -> list[str]:
+    """The masked messages of a spelled content."""
+    return [m for part in _BREAK.split(masked(spelled_content)) if (m := " ".join(part.split()))]
 
 
 def _count_messages(batches):
@@ -280,7 +330,7 @@ def _count_messages(batches):
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if text:
-                held.update(_masked(text))
+                held.update(_messages(spelled(text)))
         if len(held) > _HELD:
             yield out()
     if held:
@@ -342,9 +392,8 @@ def _hash(message: str) -> int:
 _SLOT_CUES = _literals(SLOTS, UNSET)
 
 
-def _slots(content: str) -> set[str]:
-    """Kinds of slots and unset values in the messages of a content."""
-    text = spelled(content)
+def _slots(text: str) -> set[str]:
+    """Kinds of slots and unset values in the messages of a spelled content."""
     if not any(map(text.__contains__, _SLOT_CUES)):
         return set()
     return {kind for m in _BREAK.split(text) if (kind := slot_kind(m.strip()))}
@@ -372,8 +421,10 @@ def residue(df: DataFrame, key: str = "id", content: str = "content", found: Dat
             for batch in batches:
                 out = []
                 for i, text in enumerate(batch.column(1).to_pylist()):
-                    if text and (kinds := {k for m in _masked(text) if (k := sent.value.get(_hash(m)))} | _slots(text)):
-                        out.append((i, sorted(kinds)))
+                    if text:
+                        text = spelled(text)
+                        if kinds := {k for m in _messages(text) if (k := sent.value.get(_hash(m)))} | _slots(text):
+                            out.append((i, sorted(kinds)))
                 if out:
                     at, kinds = zip(*out)
                     yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(kinds, pa.list_(pa.string()))], names=["key", "kinds"])
@@ -382,8 +433,8 @@ def residue(df: DataFrame, key: str = "id", content: str = "content", found: Dat
 
     def spell(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            messages = [[m.encode("utf-8", "replace").decode() for m in _masked(t)] for t in texts]
+            texts = [spelled(t or "") for t in batch.column(1).to_pylist()]
+            messages = [[m.encode("utf-8", "replace").decode() for m in _messages(t)] for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(messages, pa.list_(pa.string())), pa.array([sorted(_slots(t)) for t in texts], pa.list_(pa.string()))], names=["key", "messages", "slots"])
 
     said = rows.mapInArrow(spell, f"key {type_}, messages array<string>, slots array<string>")
