@@ -22,6 +22,7 @@ from tidemill.runtime import checkpointed, ship
 
 #: Lengths of the endings, the longest with enough support decides.
 ENDINGS = (8, 5, 3)
+_HEAD = 16  # characters by which values that wait at the end of a partition are found
 MIN_SUPPORT = 3  # how often an ending must occur inside other values
 MAX_FINAL = 0.04  # a sentence seldom ends there: the value was cut
 
@@ -241,11 +242,24 @@ def _settle(seams: list[tuple]) -> tuple[list[tuple], list[tuple[_Waiting, tuple
 
 
 def _ask(waiting: list[tuple[str, str]]):
-    """(at): the positions of those (value, core) after which a value comes that goes on inside the sentence."""
+    """(at): the positions of those (value, core) after which a value comes that goes on inside the sentence.
+
+    A value is compared only with the cores that begin as it does, found by their first characters.
+    """
+    heads: dict[str, list[int]] = {}
+    for i, (_, core) in enumerate(waiting):
+        heads.setdefault(core[:_HEAD], []).append(i)
+    sizes = sorted({len(h) for h in heads})
 
     def run(batches):
         for batch in batches:
-            at = {i for value in batch.column(0).to_pylist() for i, (own, core) in enumerate(waiting) if value > own and value.startswith(core) and _reads_on(value, core)}
+            at = set()
+            for value in batch.column(0).to_pylist():
+                for size in sizes:
+                    for i in heads.get(value[:size], ()):
+                        own, core = waiting[i]
+                        if value > own and value.startswith(core) and _reads_on(value, core):
+                            at.add(i)
             if at:
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(at), pa.int32())], names=["at"])
 
@@ -274,7 +288,7 @@ def truncated(df: DataFrame, fields: tuple[str, ...] = ("summary", "content"), k
     seams = inspected.where("seam is not null").select("part", "kind", "one", "two", "seam").collect()  # a few for each partition
     rows, waiting = _settle(list(map(tuple, seams)))
     if waiting:
-        longer = {r.at for r in distinct.mapInArrow(_ask([(new.value, new.core) for new, _ in waiting]), "at int").distinct().collect()}
+        longer = {r.at for r in values.select("value").mapInArrow(_ask([(new.value, new.core) for new, _ in waiting]), "at int").distinct().collect()}  # map only
         rows += [new.row(keys, copy=i in longer) for i, (new, keys) in enumerate(waiting)]
     settled = [(*r[:5], *_endings([r[5]])[0].values()) for r in rows]
     columns = ["one", "two", "kind", "sure", "copy", *(f"e{k}" for k in ENDINGS)]
