@@ -13,7 +13,7 @@ from tidemill.runtime import table
 
 
 @query(
-    f"""SELECT DISTINCT id, CASE WHEN lower({_strip('market')}) IN ('cn', 'hk') THEN lower({_strip('market')}) ELSE 'cn' END AS market, lower({_strip('market')}) IN ('cn', 'hk') OR true AS enabled,
+    f"""SELECT DISTINCT id, CASE WHEN lower({_strip('market')}) IN ('cn', 'hk') THEN lower({_strip('market')}) ELSE 'cn' END AS market, true AS enabled,
       CASE WHEN regexp_full_match(upper({_strip('ticker')}), CASE WHEN lower({_strip('market')}) = 'hk' THEN '[0-9]{{4,5}}' ELSE '[0-9]{{6}}' END) THEN upper({_strip('ticker')}) END AS ticker,
       CASE WHEN regexp_full_match(upper({_strip('ticker')}), CASE WHEN lower({_strip('market')}) = 'hk' THEN '[0-9]{{4,5}}' ELSE '[0-9]{{6}}' END) THEN NULL ELSE 'invalid_ticker:' || CASE WHEN lower({_strip('market')}) IN ('cn', 'hk') THEN lower({_strip('market')}) ELSE 'cn' END || ':' || {_strip('ticker')} END AS error,
       CASE WHEN regexp_full_match(upper({_strip('ticker')}), '[0-9]{{1,5}}') THEN lpad(upper({_strip('ticker')}), CASE WHEN lower({_strip('market')}) = 'hk' THEN 5 ELSE 6 END, '0') ELSE upper({_strip('ticker')}) END AS padded FROM ticker_entities"""
@@ -167,10 +167,16 @@ def window_seek(spark, d):
     return tables.first_page_of_window(_paged(spark, d), "page", "published_at", _bounds(spark, d)[1])
 
 
-@query("SELECT DISTINCT page, CASE WHEN p.page IS NULL THEN 'missing' ELSE 'failed' END AS problem FROM (SELECT 1) LEFT JOIN (SELECT 1 AS page) p ON true WHERE false")
+@query(
+    """WITH p AS (SELECT id, title, 2 * (1 + (row_number() OVER (ORDER BY published_at DESC, id) - 1) // 40) AS page FROM (SELECT DISTINCT id, published_at, title FROM raw_social WHERE published_at IS NOT NULL)),
+      n AS (SELECT page, max((title IS NULL)::INT) AS failed FROM p GROUP BY page), w AS (SELECT unnest(range(min(page), max(page) + 1)) AS page FROM n)
+    SELECT w.page::INT AS page, CASE WHEN failed IS NULL THEN 'missing' ELSE 'failed' END AS problem FROM w LEFT JOIN n USING (page) WHERE failed IS NULL OR failed = 1"""
+)
 def incomplete_pages(spark, d):
-    """The pages of the whole listing are all there, so nothing is reported."""
-    return reports.complete_scan(_paged(spark, d).select(F.col("page").cast("int").alias("page")), "page", F.lit(False))
+    """A listing of which every other page has landed, where pages with a post without a title count as failed."""
+    titled = _rows(spark, d, "raw_social", "id", "title")
+    pages = _paged(spark, d).join(titled, "id").select((2 * F.col("page")).cast("int").alias("page"), F.col("title").isNull().alias("failed"))
+    return reports.complete_scan(pages, "page", F.col("failed"))
 
 
 @query("SELECT DISTINCT id FROM raw_social WHERE published_at >= TIMESTAMPTZ '2025-03-05 00:00:00+00' AND published_at < TIMESTAMPTZ '2025-03-20 00:00:00+00'")
