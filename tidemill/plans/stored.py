@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemill.functions import codes, times
@@ -137,16 +138,17 @@ def row_count(spark, d):
     return reports.count_rows(table(spark, d, "raw_social", "market", "ticker"), market="hk")
 
 
-_PAGES = """p AS (SELECT id, published_at, 1 + (row_number() OVER (ORDER BY published_at DESC, id) - 1) // 40 AS page FROM (SELECT DISTINCT id, published_at FROM raw_social WHERE published_at IS NOT NULL)),
+_PAGES = """p AS (SELECT id, published_at, dense_rank() OVER (ORDER BY strftime(timezone('Asia/Shanghai', published_at), '%Y-%m-%d') DESC) AS page FROM (SELECT DISTINCT id, published_at FROM raw_social WHERE published_at IS NOT NULL)),
       b AS (SELECT page, min(published_at) AS oldest, max(published_at) AS newest FROM p GROUP BY page)"""
 _START, _END = "2025-03-05 00:00:00", "2025-03-20 00:00:00"
 
 
 def _paged(spark, d) -> DataFrame:
-    """Posts as a forum pages them: forty to a page, newest first, by their rank."""
-    posts = _rows(spark, d, "raw_social", "id", "published_at").where("published_at is not null")
-    ordered = tables.top_per_group(posts.withColumn("all", F.lit(1)), "all", F.lit(1 << 30), F.col("published_at").desc(), F.col("id"))
-    return ordered.withColumn("page", F.expr("1 + (rank - 1) div 40")).drop("all", "rank")
+    """Posts as a forum might page them: a page for each day, newest first. The days are few, so they are numbered in one task."""
+    posts = _rows(spark, d, "raw_social", "id", "published_at").where("published_at is not null").withColumn("day", times.day_bucket(F.col("published_at")))
+    days = posts.select("day").distinct()
+    numbered = days.withColumn("page", F.row_number().over(W.orderBy(F.col("day").desc())).cast("long"))
+    return posts.join(numbered, "day").drop("day")
 
 
 def _bounds(spark, d) -> tuple:
@@ -168,7 +170,7 @@ def window_seek(spark, d):
 
 
 @query(
-    """WITH p AS (SELECT id, title, 2 * (1 + (row_number() OVER (ORDER BY published_at DESC, id) - 1) // 40) AS page FROM (SELECT DISTINCT id, published_at, title FROM raw_social WHERE published_at IS NOT NULL)),
+    """WITH p AS (SELECT id, title, 2 * dense_rank() OVER (ORDER BY strftime(timezone('Asia/Shanghai', published_at), '%Y-%m-%d') DESC) AS page FROM (SELECT DISTINCT id, published_at, title FROM raw_social WHERE published_at IS NOT NULL)),
       n AS (SELECT page, max((title IS NULL)::INT) AS failed FROM p GROUP BY page), w AS (SELECT unnest(range(min(page), max(page) + 1)) AS page FROM n)
     SELECT w.page::INT AS page, CASE WHEN failed IS NULL THEN 'missing' ELSE 'failed' END AS problem FROM w LEFT JOIN n USING (page) WHERE failed IS NULL OR failed = 1"""
 )
