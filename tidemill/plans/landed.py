@@ -171,11 +171,11 @@ def landed_forum_posts(spark, d):
 
 @query(
     f"""WITH m AS (SELECT DISTINCT id, title, published_at FROM raw_social), t AS (SELECT *, regexp_extract({_collapse("'阿豆 发表于 ' || coalesce(strftime(timezone('Asia/Shanghai', published_at), '%Y-%m-%d %H:%M'), '') || ' 12次浏览 ' || coalesce(title, '') || ' 分享 看'")}, '[0-9]+次浏览\\s*(.*?)\\s*(?:分享|评论|赞|$)', 1) AS t FROM m)
-    SELECT id, md5(trim(t)) AS title, 'https://landed.example/mguba/article/0/' || id AS url, '阿豆' AS source_name, {_AT_MINUTE} AS at FROM t WHERE t <> ''"""
+    SELECT id, md5(trim(t)) AS title, 'https://landed.example/m/article/0/' || id AS url, '阿豆' AS source_name, {_AT_MINUTE} AS at FROM t WHERE t <> ''"""
 )
 def landed_mobile(spark, d):
     rows = _posts(spark, d)
-    page = _page("<ul><li><b>阿豆</b> 发表于 ", _day("yyyy-MM-dd HH:mm"), " 12次浏览 ", _escaped("title"), ' 分享 <a href="/mguba/article/0/', F.col("id"), '">看</a></li><li><a href="/other/1">没有</a></li></ul>')
+    page = _page("<ul><li><b>阿豆</b> 发表于 ", _day("yyyy-MM-dd HH:mm"), " 12次浏览 ", _escaped("title"), ' 分享 <a href="/m/article/0/', F.col("id"), '">看</a></li><li><a href="/other/1">没有</a></li></ul>')
     found = html.html_items(_landed(rows, "html", page), "mobile", "https://landed.example")
     return found.select("id", F.md5("title").alias("title"), "url", "source_name", F.unix_timestamp("published_at").alias("at"))
 
