@@ -278,6 +278,26 @@ def test_vantage_point_tree_is_exact():
         assert set(tree.within(prints[q], 35).tolist()) == set(np.flatnonzero(neardup.distances(prints, prints[q]) <= 35).tolist())
 
 
+def _edited(seed: int) -> tuple[str, str]:
+    rng = random.Random(seed)
+    base = [chr(0x4E00 + rng.randrange(2500)) for _ in range(200)]
+    text = base.copy()
+    for at in range(2, 196, 29):
+        text[at] = chr(0x4E00 + rng.randrange(2500))
+    return "".join(base), "".join(text)
+
+
+def test_no_similar_pair_is_left_to_chance(spark):
+    # pairs of similarity 0.71 that 24 groups of four minwise hashes or a radius of 35 bits left out
+    rows = [(f"{seed}{side}", text) for seed in (2657, 2956, 3720, 4269, 4485, 4586, 4740, 5540, 5868) for side, text in zip("ab", _edited(seed))]
+    # few distinct strings
+    rows += [("few0", "天地人" * 40), ("few1", "天地人" * 40 + "天"), ("few2", "天" * 120), ("few3", "天" * 121)]
+    members, pairs = neardup.class_pairs(spark.createDataFrame(rows, "id string, content string"))
+    got = {(r[0], r[1]) for r in neardup.record_pairs(members, pairs).collect()}
+    assert got == {(a, b) for a, x in rows for b, y in rows if a < b and neardup.similarity(x, y) >= neardup.SIMILARITY}
+    assert len(got) == 11
+
+
 @pytest.mark.parametrize("block", [8, 4096])
 def test_near_duplicates_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
