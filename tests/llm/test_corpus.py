@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemill.llm import abuse, lookalikes, mojibake, neardup, packing, residue, subjects, tokens, truncation
@@ -298,6 +299,51 @@ def test_no_similar_pair_is_left_to_chance(spark):
     assert len(got) == 11
 
 
+def _candidates(texts: list[str], cut: int = 4) -> tuple[set[tuple[int, int]], int]:
+    """Pairs of places in a pack that are left for the exact comparison, and bytes of the windows."""
+    pack = pa.RecordBatch.from_arrays([pa.array([5]), pa.array([neardup._squeeze("\n".join(texts).encode())]), pa.array([None], pa.list_(pa.int64()))], names=["pack", "texts", "places"])
+    data = list(neardup._windows([pack], 3, cut))
+    found = {(a - (5 << 14), b - (5 << 14)) for x in neardup._search(data, neardup.SIMILARITY, cut) for a, b in zip(*(c.to_pylist() for c in x.columns))}
+    return found, sum(len(x) for batch in data for x in batch.column(1).to_pylist())
+
+
+def _family(seed: int, texts: int, changes: int) -> list[str]:
+    rng = random.Random(seed)
+    base = [chr(0x4E00 + rng.randrange(2500)) for _ in range(300)]
+    out = []
+    for _ in range(texts):
+        text = base.copy()
+        for at in rng.sample(range(300), changes):
+            text[at] = chr(0x4E00 + rng.randrange(2500))
+        out.append("".join(text))
+    return out
+
+
+def _similar(texts: list[str]) -> set[tuple[int, int]]:
+    return {(i, j) for j, b in enumerate(texts) for i, a in enumerate(texts[:j]) if neardup.similarity(a, b) >= neardup.SIMILARITY}
+
+
+def test_long_contents_are_told_by_counted_windows_and_windows_are_small():
+    rng = random.Random(1)
+    sentences = ["".join(chr(0x4E00 + rng.randrange(2500)) for _ in range(200)) for _ in range(60)]
+    texts = ["".join(rng.sample(sentences, 15)) for _ in range(60)]
+    want, (found, _) = _similar(texts), _candidates(texts)
+    # 1,634 pairs by fingerprints alone, which long contents fill, and 1 with counted windows
+    assert want <= found and len(found) < 100
+    many = [t for seed in range(2000) for t in _family(seed, 1, 0)]
+    # 6.8 bytes a string before, with the compression of a shuffle
+    assert _candidates(many)[1] < 5 * sum(len(neardup.strings(t)) for t in many)
+
+
+@pytest.mark.parametrize("name, value", [("_MARK_BITS", 4), ("_COUNTED", 50), ("BLOCK", 3), ("_TURN", 500), ("_STRETCH", 20)])
+def test_counted_windows_lose_no_pair(monkeypatch, name, value):
+    monkeypatch.setattr(neardup, name, value)
+    texts = [t for seed in range(6) for changes in (3, 9, 11, 13) for t in _family(seed, 4, changes)]
+    texts += ["天地人" * 40, "天地人" * 40 + "天", "天" * 120, "天" * 121, "天地" * 60, "地天" * 60 + "地"]
+    for cut in (4, 7):
+        assert _similar(texts) <= _candidates(texts, cut)[0]
+
+
 @pytest.mark.parametrize("block", [8, 4096])
 def test_near_duplicates_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(neardup, "BLOCK", block)
